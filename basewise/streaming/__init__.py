@@ -1,0 +1,6 @@
+"""Nothing to build here: the computations are batch jobs.
+
+The row-wise operators (record parsing, windows, alternates, differences,
+annotation parsing) use no action and no aggregate, so they also accept a
+streaming DataFrame as it is; ``tests/test_streaming.py`` runs one.
+"""
