@@ -1,6 +1,6 @@
 """Column expressions: everything here takes and returns ``Column`` and runs inside the JVM."""
 
-from basewise.functions.aggregates import joined_set, signed_extreme
+from basewise.functions.aggregates import joined_set, joined_values, signed_extreme
 from basewise.functions.bases import (
     chrom_to_code,
     code_to_chrom,
@@ -21,6 +21,7 @@ __all__ = [
     "complement",
     "contig_to_code",
     "joined_set",
+    "joined_values",
     "merge_key",
     "number_list",
     "pair_distance",

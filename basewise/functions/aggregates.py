@@ -21,6 +21,12 @@ def signed_extreme(value: Column | str) -> Column:
     return F.when(top >= F.try_subtract(F.lit(0), bottom), top).otherwise(bottom)
 
 
+def joined_values(values: Column | str, sep: str = ";") -> Column:
+    """The distinct non-null members of an array, sorted and joined."""
+    present = F.filter(as_column(values), lambda v: v.isNotNull())
+    return F.array_join(F.array_sort(F.array_distinct(present)), sep)
+
+
 def joined_set(value: Column | str, sep: str = ";") -> Column:
     """The distinct non-null values of a group, sorted and joined."""
     return F.array_join(F.sort_array(F.collect_set(as_column(value).cast("string"))), sep)

@@ -20,14 +20,11 @@ def number_list(text: Column | str) -> Column:
 def rounded_difference(alternate: Column | str, baseline: Column | str, scale: int = 2) -> Column:
     """``alternate - baseline`` after rounding each half up to ``scale`` decimals.
 
-    The subtraction is done on decimals, so the result carries no binary drift.
+    The cast to decimal rounds half up on the number's decimal text, and the
+    subtraction is done on decimals, so the result carries no binary drift.
     """
     kind = f"decimal(18,{scale})"
-
-    def rounded(value: Column | str) -> Column:
-        return F.round(as_column(value), scale).try_cast(kind)
-
-    return (rounded(alternate) - rounded(baseline)).cast("double")
+    return (as_column(alternate).try_cast(kind) - as_column(baseline).try_cast(kind)).cast("double")
 
 
 def threshold_flag(value: Column | str, threshold: float) -> Column:

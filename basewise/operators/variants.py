@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basewise.functions.bases import BASES, replace_base
@@ -49,7 +49,7 @@ def windows(
     sequence: str = "sequence",
     width: int = WINDOW,
     short: str = "reference",
-    partitions: int | None = None,
+    partitions: int | str | None = "auto",
     key: str = "nm_id",
 ) -> DataFrame:
     """One row per position: ``transcript_position`` (1-based), ``ref``, ``wildSequence``, ``window_index``.
@@ -60,62 +60,69 @@ def windows(
     its own window, and with ``short='reference'`` only its first
     ``width // 2 + 1`` positions are produced (``short='all'`` produces all).
 
-    The output is hundreds of times the input, so ``partitions`` spreads the
-    chunks by (``key``, chunk) first: one long sequence then feeds many tasks.
-    Only the input text is shuffled for this, never the windows.
+    The output is hundreds of times the input, so the chunks are first spread by
+    (``key``, chunk) over ``partitions`` tasks: one long sequence then feeds many
+    tasks, and few input files still use the whole cluster. Only the input text
+    is shuffled for this, never the windows. ``'auto'`` takes the larger of the
+    session's shuffle partitions and default parallelism, ``None`` leaves the
+    input's partitioning. (The number is explicit because adaptive execution
+    would size tasks by the small input and merge them.)
     """
     if short not in ("reference", "all"):
         raise ValueError("short must be 'reference' or 'all'")
     half = width // 2
     chunks = _chunked(df, sequence, width)
+    if partitions == "auto":
+        session = df.sparkSession
+        partitions = max(int(session.conf.get("spark.sql.shuffle.partitions")), session.sparkContext.defaultParallelism)
     if partitions:
         chunks = chunks.repartition(partitions, F.col(key), F.col("_chunk.first"))
     n = F.col("_n")
     last = n if short == "all" else F.when(n > width, n).otherwise(F.least(n, F.lit(half + 1)))
     chunk = F.col("_chunk")
-    stop = F.least(chunk["count"], last - chunk["first"])
-
-    def at(k: Column) -> Column:
-        position = chunk["first"] + k  # 1-based
-        start = F.greatest(F.least(position - 1 - half, n - width), F.lit(0))
-        index = position - 1 - start
-        window = F.substring(chunk["text"], start - chunk["start"] + 1, F.lit(width))
-        return F.struct(
-            position.cast("int").alias("transcript_position"),
-            F.substring(chunk["text"], position - chunk["start"], F.lit(1)).alias("ref"),
-            window.alias("wildSequence"),
-            index.cast("int").alias("window_index"),
-        )
-
-    steps = F.when(stop > 0, F.sequence(F.lit(1), stop)).otherwise(F.array().cast("array<int>"))
     keep = [c for c in chunks.columns if c not in ("_n", "_chunk")]
-    return chunks.select(*keep, F.inline(F.transform(steps, at)))
+    flat = chunks.select(
+        *keep,
+        "_n",
+        chunk["first"].alias("_first"),
+        chunk["start"].alias("_start"),
+        chunk["text"].alias("_text"),
+        F.least(chunk["count"], last - chunk["first"]).alias("_stop"),
+    ).where(F.col("_stop") > 0)
+    # A plain explode and plain substrings stay in generated code, where the chunk is referred to, not copied.
+    stepped = flat.select(*keep, "_n", "_first", "_start", "_text", F.explode(F.sequence(F.lit(1), "_stop")).alias("_k"))
+    position = F.col("_first") + F.col("_k")  # 1-based
+    start = F.greatest(F.least(position - 1 - half, n - width), F.lit(0))
+    return stepped.select(
+        *keep,
+        position.cast("int").alias("transcript_position"),
+        F.substring("_text", position - F.col("_start"), F.lit(1)).alias("ref"),
+        F.substring("_text", start - F.col("_start") + 1, F.lit(width)).alias("wildSequence"),
+        (position - 1 - start).cast("int").alias("window_index"),
+    )
 
 
 def alternates(df: DataFrame, wildtype: bool = True) -> DataFrame:
     """Windows -> three alternates per position, plus the wildtype row.
 
     A base outside the alphabet (N, lower case) would leave four candidates; the
-    first three of the alphabet are taken.
+    first three of the alphabet are taken and the last one's row is the wildtype.
     """
-    letters = F.array(*[F.lit(b) for b in BASES])
-    others = F.slice(F.filter(letters, lambda b: b != F.col("ref")), 1, 3)
-    choices = F.concat(
-        F.transform(others, lambda b: F.struct(b.alias("alt"), F.lit(False).alias("isWildType"))),
-        F.array(F.struct(F.col("ref").alias("alt"), F.lit(True).alias("isWildType")))
-        if wildtype
-        else F.array().cast("array<struct<alt:string,isWildType:boolean>>"),
-    )
     keep = [c for c in df.columns if c not in ("wildSequence", "window_index")]
-    exploded = df.select(*keep, "wildSequence", "window_index", F.inline(choices))
-    return exploded.select(
+    ref, letter = F.col("ref"), F.col("_letter")
+    outside = ~ref.isin(*BASES)
+    own = (letter == ref) | (outside & (letter == BASES[-1]))
+    rows = df.select("*", F.explode(F.array(*[F.lit(b) for b in BASES])).alias("_letter"))
+    if not wildtype:
+        rows = rows.where(~own)
+    return rows.select(
         *keep,
-        "alt",
-        F.when(F.col("isWildType"), F.col("wildSequence"))
-        .otherwise(replace_base("wildSequence", F.col("window_index"), "alt"))
+        F.when(own, ref).otherwise(letter).alias("alt"),
+        F.when(own, F.col("wildSequence"))
+        .otherwise(replace_base("wildSequence", F.col("window_index"), letter))
         .alias("sequence"),
         "wildSequence",
-        "isWildType",
+        own.alias("isWildType"),
     )
 
 
@@ -124,7 +131,7 @@ def variants(
     sequence: str = "sequence",
     width: int = WINDOW,
     short: str = "reference",
-    partitions: int | None = None,
+    partitions: int | str | None = "auto",
     key: str = "nm_id",
 ) -> DataFrame:
     """Sequences -> the variants table: four rows per position, one of them the wildtype."""

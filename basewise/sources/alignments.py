@@ -24,8 +24,9 @@ def parse_alignments(lines: DataFrame, text: str = "value") -> DataFrame:
         lines = lines.where(~value.startswith(prefix))
     lines = lines.where(F.trim(value) != "")
 
-    words = F.split(value, r"\s+")
-    attributes = F.split(value, ";")
+    # Split once per line; the fields below are picked from the two arrays.
+    lines = lines.select(F.split(value, r"\s+").alias("words"), F.split(value, ";").alias("attributes"))
+    words, attributes = F.col("words"), F.col("attributes")
     gap_count = F.try_element_at(F.split(F.try_element_at(attributes, F.lit(3)), "="), F.lit(2))
     last = F.split(F.trim(F.try_element_at(attributes, F.lit(-1))), "=")
     gap_text = F.when(

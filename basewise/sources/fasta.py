@@ -18,8 +18,8 @@ def parse_fasta(records: DataFrame, record_type: str | None = None, text: str =
     """
     if record_type is not None:
         records = records.where(F.contains(F.col(text), F.lit("|" + record_type)))
-    parts = F.split(F.col(text), "\n", 2)
-    return records.select(
+    parts = F.col("parts")
+    return records.select(F.split(F.col(text), "\n", 2).alias("parts")).select(
         F.try_element_at(F.split(strip_control(parts[0]), r"\|"), F.lit(2)).alias("nm_id"),
         F.coalesce(strip_control(F.try_element_at(parts, F.lit(2))), F.lit("")).alias("sequence"),
     )

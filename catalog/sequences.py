@@ -66,7 +66,7 @@ def alternate_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def variant_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All variants, summed per transcript and base change."""
-    rows = variants(sequences(spark, sf_dir), partitions=int(spark.conf.get("spark.sql.shuffle.partitions")))
+    rows = variants(sequences(spark, sf_dir))
     return rows.groupBy("nm_id", "ref", "alt", "isWildType").agg(
         F.count(F.lit(1)).alias("n"), checksum(*VARIANT_COLUMNS).alias("row_sum")
     )

@@ -29,7 +29,7 @@ def expected_windows(seq, width=101, short="reference"):
 
 
 @pytest.mark.parametrize("short", ["reference", "all"])
-@pytest.mark.parametrize("partitions", [None, 5])
+@pytest.mark.parametrize("partitions", [None, "auto"])
 def test_windows_match_rule(spark, short, partitions):
     data = [(f"NM_{n}", random_sequence(n)) for n in LENGTHS]
     df = spark.createDataFrame(data, "nm_id string, sequence string")
