@@ -116,9 +116,15 @@ def map_genome(spark: SparkSession, source: str, out: str, gff3: str, prefix: st
     write_parquet(map_positions(spark.read.parquet(source), read_alignments(spark, gff3), prefix), out)
 
 
+def genome_chunks(spark: SparkSession, fasta: str, out: str) -> None:
+    """Cut a genome into the chunk table that the liftover reads; needed once per genome."""
+    write_parquet(read_genome_chunks(spark, fasta), out)
+
+
 def liftover(spark: SparkSession, source: str, out: str, chain: str, genome: str) -> None:
-    """Move variants to another assembly."""
-    chunks = read_genome_chunks(spark, genome)
+    """Move variants to another assembly; ``genome`` is a chunk table (``*.parquet``) or FASTA."""
+    stored = genome.rstrip("/").endswith(".parquet")
+    chunks = spark.read.parquet(genome) if stored else read_genome_chunks(spark, genome)
     write_parquet(lift_positions(spark.read.parquet(source), read_chain(spark, chain), chunks), out)
 
 
@@ -173,7 +179,8 @@ def constraint(spark: SparkSession, table: str, id_map: str, out: str, choice: s
 JOBS: dict[str, Callable[..., None]] = {
     f.__name__.replace("_", "-"): f
     for f in (
-        variants, wildtypes, fold, scrub, combine, distance, pdist, join, map_genome, liftover,
+        variants, wildtypes, fold, scrub, combine, distance, pdist, join, map_genome,
+        genome_chunks, liftover,
         frequencies, coverage, functional, annotate, rollup, export_csv, export_vcf, constraint,
     )
 }
