@@ -41,8 +41,8 @@ def to_vcf_lines(df: DataFrame, passed: str | None = "liftoverResult") -> DataFr
 
 
 def vcf_header(spark: SparkSession) -> DataFrame:
-    """The two header lines as ``value``, in one partition."""
-    return spark.createDataFrame([(line,) for line in HEADER], "value string").coalesce(1)
+    """The two header lines as ``at, value``."""
+    return spark.createDataFrame(list(enumerate(HEADER)), "at int, value string")
 
 
 def write_vcf(df: DataFrame, path: str, mode: str = "error", single_file: bool = False) -> None:
@@ -52,7 +52,8 @@ def write_vcf(df: DataFrame, path: str, mode: str = "error", single_file: bool =
     """
     header, lines = vcf_header(df.sparkSession), to_vcf_lines(df)
     if single_file:
-        header.union(lines).coalesce(1).write.mode(mode).text(path)
+        whole = header.unionByName(lines.withColumn("at", F.lit(len(HEADER))))
+        whole.coalesce(1).sortWithinPartitions("at").select("value").write.mode(mode).text(path)
         return
-    header.write.mode(mode).text(f"{path}/header")
+    header.coalesce(1).sortWithinPartitions("at").select("value").write.mode(mode).text(f"{path}/header")
     lines.write.mode(mode).text(f"{path}/lines")

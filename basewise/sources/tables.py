@@ -16,15 +16,10 @@ CONSTRAINT_COLUMNS = (
     "obs_mis", "exp_mis", "oe_mis", "obs_syn", "exp_syn", "oe_syn",
     "p", "pLI", "pRec", "pNull", "oe_lof_upper", "oe_lof_upper_rank", "oe_lof_upper_bin",
 )
-CONSTRAINT_TYPES = {
-    "p": "double",
-    "pLI": "double",
-    "pRec": "double",
-    "pNull": "double",
-    "oe_lof_upper": "double",
-    "oe_lof_upper_rank": "int",
-    "oe_lof_upper_bin": "int",
-}
+CONSTRAINT_DOUBLES = (
+    "exp_mis", "oe_mis", "exp_syn", "oe_syn", "p", "pLI", "pRec", "pNull", "oe_lof_upper",
+)
+CONSTRAINT_INTEGERS = ("obs_mis", "obs_syn", "oe_lof_upper_rank", "oe_lof_upper_bin")
 
 
 def read_parquet(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
@@ -52,6 +47,13 @@ def read_id_map(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_constraint(spark: SparkSession, path: str, null_value: str = "NA") -> DataFrame:
-    """Gene-constraint table: 16 columns, metrics as numbers, unreadable numbers as null."""
-    table = read_tsv(spark, path, null_value=null_value).select(*CONSTRAINT_COLUMNS)
-    return table.withColumns({c: F.col(c).try_cast(t) for c, t in CONSTRAINT_TYPES.items()})
+    """Gene-constraint table: 16 columns, metrics as numbers, unreadable numbers as null.
+
+    All columns are read as text and the numbers cast by name. Letting Spark
+    infer types would read the file twice and could take an id for a date.
+    """
+    reader = spark.read.option("sep", "\t").option("header", True).option("nullValue", null_value)
+    table = reader.csv(path).select(*CONSTRAINT_COLUMNS)
+    doubles = {c: F.col(c).try_cast("double") for c in (*CONSTRAINT_DOUBLES, *CONSTRAINT_INTEGERS)}
+    integers = {c: F.col(c).try_cast("int") for c in CONSTRAINT_INTEGERS}
+    return table.withColumns(doubles).withColumns(integers)
