@@ -5,10 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basewise.operators import aligned_length, lift_positions, map_positions
+from basewise.operators import aligned_length, alternates, lift_positions, map_positions, rollup, windows
 from basewise.sinks import to_vcf_lines
 from basewise.sources import parse_alignments, parse_chains
-from catalog.derive import md5_bases, sql_md5_bases, table, text
+from catalog.derive import (
+    SQL_SEQUENCES,
+    SQL_VARIANTS,
+    SQL_WINDOWS,
+    md5_bases,
+    sequences,
+    sql_md5_bases,
+    table,
+    text,
+)
 
 STEP, SLOT, GENOME_CHUNK, FAR = 17, 50, 64, 100_000_000
 LETTER = "ACGT"
@@ -329,12 +338,14 @@ def _sql_blocks(name: str, start: str, width: int, score: str) -> str:
 
 
 _ORDER, _LINE = "l_orderkey", "l_linenumber"
-SQL_LIFT_INPUT = f"""
+SQL_TARGET = f"""
 blocks AS ({_sql_blocks("a", "1", 800, "p_partkey % 5 + 20")} UNION ALL {_sql_blocks("b", "700", 251, "p_size")}),
 chunks AS (
   SELECT chr, chunk_id, {sql_md5_bases("chr || '-' || chunk_id || '-l'")} || {sql_md5_bases("chr || '-' || chunk_id || '-r'")} AS bases
   FROM (SELECT {_sql_contig("p_partkey % 24 + 1")} AS chr, p_partkey // 24 * 15 + i AS chunk_id
-        FROM part, range(0, 15) AS t(i))),
+        FROM part, range(0, 15) AS t(i)))"""
+
+SQL_LIFT_INPUT = f"""{SQL_TARGET},
 points AS (
   SELECT row_number() OVER () AS rid, l_orderkey, l_linenumber,
          CASE WHEN l_orderkey % 97 = 0 THEN NULL WHEN l_suppkey % 29 = 0 THEN '25'
@@ -345,8 +356,7 @@ points AS (
 
 SQL_CODED = "CASE {0} WHEN 'chrX' THEN '23' WHEN 'chrY' THEN '24' ELSE substr({0}, 4) END"
 
-SQL_LIFTED = f"""
-WITH {SQL_LIFT_INPUT},
+SQL_LIFTING = f"""
 hits AS (
   SELECT points.*, 'chr' || chromosome_id AS contig, dst_chr, forward,
          CASE WHEN forward THEN low + position - ss ELSE low + width - 1 - (position - ss) END AS g
@@ -374,6 +384,7 @@ lifted AS (
                   WHEN 'NO_TARGET' THEN '.'
                   ELSE 'AttemptedLocus=' || dst_chr || ':' || g || '-' || g END AS liftoverOrig
   FROM judged)"""
+SQL_LIFTED = f"WITH {SQL_LIFT_INPUT}, {SQL_LIFTING}"
 
 SQL_LIFT_UNCHECKED = f"""
 WITH {SQL_LIFT_INPUT},
@@ -398,7 +409,53 @@ SELECT l_orderkey, l_linenumber, chromosome_id, position, ref, alt,
        res AS liftoverResult
 FROM judged"""
 
+END_SPEC = {"Transcript": ("keys", ("nm_id", "transcript_position")), "dMFE": ("extreme", "score")}
+
+
+def end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sequences to variants, to the genome, to another assembly, to one row per variant."""
+    base = sequences(spark, sf_dir)
+    sizes = table(spark, sf_dir, "part").select("p_partkey", "p_size")
+    key, number = F.col("p_partkey"), F.col("p_partkey") % 24 + 1
+    start = (F.floor(key / 24) * 1000 + 1 + F.col("p_size")).cast("int")
+    segments = base.join(sizes, "p_partkey").select(
+        F.concat(F.lit("NC_"), F.lpad(text(number), 6, "0"), F.lit(".12")).alias("sequence"),
+        F.when(number == 23, "X").when(number == 24, "Y").otherwise(text(number)).alias("chromosome"),
+        F.when(key % 2 == 0, "+").otherwise("-").alias("sense"),
+        start.alias("genomic_start"),
+        (start + F.length("sequence") - 1).alias("genomic_end"),
+        F.col("nm_id").alias("transcript_id"),
+        F.lit(1).alias("transcript_start"),
+        F.length("sequence").alias("transcript_end"),
+        F.lit(None).cast("array<struct<op:string,len:int>>").alias("gap"),
+    )
+    rows = alternates(windows(base), wildtype=False).drop("sequence", "wildSequence", "isWildType", "p_partkey")
+    scored = rows.withColumn("score", F.lit(60) - F.col("transcript_position"))
+    mapped = map_positions(scored, segments, prefix="NM")
+    lifted = lift_positions(mapped, lift_blocks(spark, sf_dir), genome_chunks(spark, sf_dir), GENOME_CHUNK)
+    return rollup(lifted, spec=END_SPEC)
+
+
+SQL_END_TO_END = f"""
+WITH {SQL_SEQUENCES}, {SQL_WINDOWS}, {SQL_VARIANTS}, {SQL_TARGET},
+points AS (
+  SELECT row_number() OVER () AS rid, p_partkey AS l_orderkey, transcript_position AS l_linenumber,
+         substr({_sql_contig("p_partkey % 24 + 1")}, 4) AS chromosome_id,
+         (p_partkey // 24 * 1000 + 1 + p_size
+          + CASE WHEN p_partkey % 2 = 0 THEN transcript_position - 1 ELSE length(seqs.sequence) - transcript_position END
+         )::INTEGER AS position,
+         CASE WHEN p_partkey % 2 = 0 THEN ref ELSE translate(ref, 'ACGT', 'TGCA') END AS ref,
+         CASE WHEN p_partkey % 2 = 0 THEN alt ELSE translate(alt, 'ACGT', 'TGCA') END AS alt
+  FROM vars JOIN seqs USING (nm_id) JOIN part USING (p_partkey) WHERE NOT isWildType), {SQL_LIFTING}
+SELECT chromosome_id_hg19 AS CHR, position_hg19 AS POS, ref_hg19 AS REF, alt_hg19 AS ALT,
+       string_agg(DISTINCT 'NM_' || l_orderkey || ':' || l_linenumber, ';' ORDER BY 'NM_' || l_orderkey || ':' || l_linenumber)
+       AS Transcript,
+       CASE WHEN max(60 - l_linenumber) >= -min(60 - l_linenumber) THEN max(60 - l_linenumber)
+            ELSE min(60 - l_linenumber) END AS dMFE
+FROM lifted WHERE liftoverResult = 'PASS' GROUP BY 1, 2, 3, 4"""
+
 QUERIES = {
+    "end_to_end": end_to_end,
     "map_positions": map_exons,
     "map_positions_shuffled": map_exons_shuffled,
     "alignment_parse": alignment_parse,
@@ -413,6 +470,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "end_to_end": SQL_END_TO_END,
     "map_positions": f"{SQL_MAPPED} SELECT * FROM mapped",
     "map_positions_shuffled": f"""{SQL_MAPPED}
 SELECT chromosome_id, sense, ref, count(*) AS n, sum(position)::BIGINT AS position_sum FROM mapped GROUP BY ALL""",
