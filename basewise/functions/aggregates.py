@@ -8,14 +8,15 @@ from pyspark.sql import functions as F
 from basewise.functions._columns import as_column
 
 
-def signed_extreme(value: Column | str) -> Column:
+def signed_extreme(value: Column | str, skip_nan: bool = True) -> Column:
     """The value farthest from zero with its sign; nulls and NaN are skipped, +x wins over -x.
 
     The farthest value is always the largest or the smallest one, so two plain
     ``max``/``min`` buffers are enough: no set of values is ever built.
+    ``skip_nan=False`` saves the test where the column cannot hold NaN.
     """
     value = as_column(value)
-    real = F.when(~F.isnan(value), value)
+    real = F.when(~F.isnan(value), value) if skip_nan else value
     top, bottom = F.max(real), F.min(real)
     # try_subtract gives null for the one integer without a positive twin; it then wins as bottom.
     return F.when(top >= F.try_subtract(F.lit(0), bottom), top).otherwise(bottom)

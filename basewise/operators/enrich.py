@@ -26,10 +26,14 @@ COUNT_NAMES = {
 
 
 def join_scores(
-    a: DataFrame, b: DataFrame, keys: Sequence[str] = TRANSCRIPT_KEY, columns: Sequence[str] = ("efeed",)
+    a: DataFrame,
+    b: DataFrame,
+    keys: Sequence[str] = TRANSCRIPT_KEY,
+    columns: Sequence[str] = ("efeed",),
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Inner equi-join that takes only ``columns`` from the second table."""
-    return a.join(b.select(*keys, *columns), list(keys))
+    return salted_join(a, b.select(*keys, *columns), keys, hot, "inner")
 
 
 def enrich(

@@ -88,5 +88,5 @@ def pipe_batches(
 
     records = df.select("value")
     if partitions:
-        records = records.repartition(partitions, "value")
+        records = records.repartition(partitions)
     return records.mapInArrow(run, "value string")

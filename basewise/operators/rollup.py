@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from basewise.functions.aggregates import joined_values, signed_extreme
 from basewise.functions.bases import merge_key
@@ -66,7 +67,8 @@ def rollup(
     keys = list(keys)
     if passed is not None:
         df = df.where(F.col(passed) == "PASS")
-    makers = {"any": F.min, "extreme": signed_extreme}
+    fractional = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
+    makers = {"any": F.min, "extreme": lambda c: signed_extreme(c, skip_nan=c in fractional)}
     members, columns = [], []
     for name, (kind, source) in spec.items():
         if kind in makers:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from basewise.functions.numbers import rounded_difference
 from basewise.functions.structures import pair_distance
+from basewise.operators.skew import salted_join
 from basewise.sources.tool_output import FOLD_SCORES, FOLD_STRUCTURES
 
 # Names of the differences, and of the columns a re-scored table must lose.
@@ -42,10 +43,14 @@ def attach_wildtype(
     keys: Sequence[str] = WILDTYPE_KEY,
     columns: Sequence[str] = (*FOLD_SCORES, *FOLD_STRUCTURES),
     prefix: str = WILDTYPE_PREFIX,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
-    """Inner-join each alternate with its position's wildtype, whose ``columns`` get ``prefix``."""
+    """Inner-join each alternate with its position's wildtype, whose ``columns`` get ``prefix``.
+
+    ``hot`` (see ``hot_keys``) spreads keys that hold much of the alternates.
+    """
     baseline = wildtypes.select(*keys, *[F.col(c).alias(prefix + c) for c in columns])
-    return alternates.join(baseline, list(keys))
+    return salted_join(alternates, baseline, keys, hot, "inner")
 
 
 def deltas(

@@ -50,7 +50,6 @@ def windows(
     width: int = WINDOW,
     short: str = "reference",
     partitions: int | str | None = "auto",
-    key: str = "nm_id",
 ) -> DataFrame:
     """One row per position: ``transcript_position`` (1-based), ``ref``, ``wildSequence``, ``window_index``.
 
@@ -60,13 +59,14 @@ def windows(
     its own window, and with ``short='reference'`` only its first
     ``width // 2 + 1`` positions are produced (``short='all'`` produces all).
 
-    The output is hundreds of times the input, so the chunks are first spread by
-    (``key``, chunk) over ``partitions`` tasks: one long sequence then feeds many
-    tasks, and few input files still use the whole cluster. Only the input text
-    is shuffled for this, never the windows. ``'auto'`` takes the larger of the
-    session's shuffle partitions and default parallelism, ``None`` leaves the
-    input's partitioning. (The number is explicit because adaptive execution
-    would size tasks by the small input and merge them.)
+    The output is hundreds of times the input, so the chunks are first dealt out
+    evenly over ``partitions`` tasks: one long sequence, or many copies of one,
+    then feeds all tasks, and few input files still use the whole cluster. Only
+    the input text is shuffled for this, never the windows. ``'auto'`` takes the
+    larger of the session's shuffle partitions and default parallelism, ``None``
+    leaves the input's partitioning. (The number is explicit because adaptive
+    execution would size tasks by the small input and merge them. Spark sorts
+    each task's rows before dealing them, so a re-run task deals alike.)
     """
     if short not in ("reference", "all"):
         raise ValueError("short must be 'reference' or 'all'")
@@ -76,7 +76,7 @@ def windows(
         session = df.sparkSession
         partitions = max(int(session.conf.get("spark.sql.shuffle.partitions")), session.sparkContext.defaultParallelism)
     if partitions:
-        chunks = chunks.repartition(partitions, F.col(key), F.col("_chunk.first"))
+        chunks = chunks.repartition(int(partitions))
     n = F.col("_n")
     last = n if short == "all" else F.when(n > width, n).otherwise(F.least(n, F.lit(half + 1)))
     chunk = F.col("_chunk")
@@ -132,7 +132,6 @@ def variants(
     width: int = WINDOW,
     short: str = "reference",
     partitions: int | str | None = "auto",
-    key: str = "nm_id",
 ) -> DataFrame:
     """Sequences -> the variants table: four rows per position, one of them the wildtype."""
-    return alternates(windows(df, sequence, width, short, partitions, key))
+    return alternates(windows(df, sequence, width, short, partitions))

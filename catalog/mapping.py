@@ -12,6 +12,7 @@ from catalog.derive import (
     SQL_SEQUENCES,
     SQL_VARIANTS,
     SQL_WINDOWS,
+    dealt,
     md5_bases,
     sequences,
     sql_md5_bases,
@@ -34,7 +35,7 @@ def exon_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     start = (F.col("l_linenumber") - 1) * SLOT + 1
     g_start = F.col("l_suppkey") % 50 * 100_000 + F.col("l_linenumber") * 1000 + F.col("l_partkey") % 500
     length = F.col("l_quantity").cast("int")
-    return line.select(
+    segments = line.select(
         F.concat(F.lit("NC_"), F.lpad(text(accession), 6, "0"), F.lit(".12")).alias("sequence"),
         F.when(accession == 23, "X").when(accession == 24, "Y").otherwise(text(accession)).alias("chromosome"),
         F.when(F.col("l_orderkey") % 2 == 0, "+").otherwise("-").alias("sense"),
@@ -45,6 +46,7 @@ def exon_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
         (start + length - 1).cast("int").alias("transcript_end"),
         F.lit(None).cast("array<struct<op:string,len:int>>").alias("gap"),
     )
+    return dealt(segments)
 
 
 SQL_SEGMENTS = f"""
@@ -60,7 +62,7 @@ segs AS (
 
 def transcript_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Positions of every order, also of orders without segments and past their ends."""
-    orders = table(spark, sf_dir, "orders").select("o_orderkey")
+    orders = dealt(table(spark, sf_dir, "orders").select("o_orderkey"))
     points = orders.select("o_orderkey", F.explode(F.sequence(F.lit(1), F.lit(7 * SLOT + 10), F.lit(STEP))).alias("p"))
     return points.select(
         F.concat(F.lit("NM_"), text(F.col("o_orderkey"))).alias("nm_id"),
@@ -281,7 +283,8 @@ def lift_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A variant per lineitem; some without chromosome, on an unknown one, unmapped or in a hole."""
     part, order, number = F.col("l_partkey"), F.col("l_orderkey"), F.col("l_partkey") % 24 + 1
     chrom = F.when(number == 23, "X").when(number == 24, "Y").otherwise(text(number))
-    return table(spark, sf_dir, "lineitem").select(
+    columns = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    return dealt(table(spark, sf_dir, "lineitem").select(*columns)).select(
         "l_orderkey",
         "l_linenumber",
         F.when(order % 97 != 0, F.when(F.col("l_suppkey") % 29 == 0, F.lit("25")).otherwise(chrom)).alias("chromosome_id"),
