@@ -39,13 +39,14 @@ def hot_keys(
     looked_at = df.select(*keys)
     if fraction < 1.0:
         looked_at = looked_at.sample(fraction=fraction, seed=seed)
-    counts = looked_at.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    total = looked_at.agg(F.count(F.lit(1)).alias("_total"))
+    floor = looked_at.count() * share
+    # At most 1 / share keys can reach the floor, so the limit cuts none of them off.
     heavy = (
-        counts.orderBy(F.desc("_n"))
+        looked_at.groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .orderBy(F.desc("_n"))
         .limit(int(1 / share) + 1)
-        .join(F.broadcast(total))
-        .where(F.col("_n") >= F.col("_total") * share)
+        .where(F.col("_n") >= floor)
         .select(*keys)
         .dropna()
     )

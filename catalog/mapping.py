@@ -123,7 +123,8 @@ def gapped_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit(" +;gap_count=1;Gap="), gaps,
         ),
     )
-    return table(spark, sf_dir, "part").select("p_partkey", line.alias("value"), start.alias("start"), span.alias("span"))
+    part = dealt(table(spark, sf_dir, "part").select("p_partkey", "p_size"))
+    return part.select("p_partkey", line.alias("value"), start.alias("start"), span.alias("span"))
 
 
 def alignment_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
