@@ -34,6 +34,32 @@ from basewise.operators.variants import alternates, variants, windows
 
 __all__ = [
     "aligned_length",
+    "alternates",
+    "argmax_rows",
+    "attach_wildtype",
+    "check_unique",
+    "coverage_flag",
+    "deltas",
+    "disjoint_pieces",
+    "drop_stale_scores",
+    "enrich",
+    "enrich_frequencies",
+    "enrich_prefixed",
+    "extreme_join",
+    "hot_keys",
+    "join_scores",
+    "key_histogram",
+    "lift_positions",
+    "linear_segments",
+    "lookup",
+    "map_positions",
+    "pair_distances",
+    "parse_annotations",
+    "pipe_batches",
+    "prefix_columns",
+    "rollup",
+    "salted_join",
+    "sample_rows",
     "split_wildtype",
     "to_tool_records",
     "variants",
