@@ -22,6 +22,28 @@ def spread(buckets: int, columns: Sequence[str] = ()) -> Column:
     return F.pmod(F.xxhash64(F.spark_partition_id(), *[F.col(f"`{c}`") for c in columns]), F.lit(buckets))
 
 
+PLACE = "_place"
+
+
+def splittable(
+    left: DataFrame, right: DataFrame, keys: Sequence[tuple[str, str]]
+) -> tuple[DataFrame, DataFrame, Column]:
+    """Both sides and the condition of an equi-join whose skewed partitions adaptive execution can split.
+
+    Spark splits a skewed partition only where both inputs of the join come
+    straight from a shuffle. A side that was just aggregated on the same keys
+    is not shuffled again and rules that out; a hash of the keys as one more
+    join key asks for the shuffle. Meant for sides that are small beside the
+    other. Drop ``PLACE`` and ``PLACE + "r"`` from the result.
+    """
+    left = left.withColumn(PLACE, F.xxhash64(*[F.col(a) for a, _ in keys]))
+    right = right.withColumn(PLACE + "r", F.xxhash64(*[F.col(b) for _, b in keys]))
+    condition = F.col(PLACE) == F.col(PLACE + "r")
+    for a, b in keys:
+        condition = condition & (F.col(a) == F.col(b))
+    return left, right, condition
+
+
 def hot_keys(
     df: DataFrame,
     keys: Sequence[str],

@@ -161,3 +161,33 @@ def test_extremes_and_counts(spark):
     observed, metrics = with_row_metrics(df)
     observed.collect()
     assert metrics.get["rows"] == 6
+
+
+def test_hot_bin_is_split_by_adaptive_execution(spark):
+    """A shuffled lookup where one bin holds half of the points: Spark splits the skewed partition."""
+    from basewise.operators import disjoint_pieces, lookup
+
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        position = F.when(F.col("id") % 2 == 0, F.lit(77)).otherwise(F.col("id") % 50_000)
+        points = spark.range(0, 200_000, 1, 12).select("id", F.lit("a").alias("k"), position.alias("p"))
+        ranges = spark.range(500).select(F.lit("a").alias("key"), (F.col("id") * 100).alias("s"), (F.col("id") * 100 + 79).alias("e"), "id")
+        pieces = disjoint_pieces(ranges, ["key"], "s", "e", [F.col("id")], ["id"], 64).withColumnRenamed("id", "hit")
+        found = lookup(points, pieces, {"k": "key"}, "p", 64, broadcast_limit=0)
+        rows = found.collect()
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
+    assert "skew=true" in plan
+    at_77 = sum(i % 2 == 0 or i % 50_000 == 77 for i in range(200_000))
+    assert len(rows) == 200_000 and sum(r.hit == 0 for r in rows if r.p == 77) == at_77
+    assert all(r.hit == (r.p // 100 if r.p % 100 < 80 else None) for r in rows)
