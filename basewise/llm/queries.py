@@ -9,7 +9,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basewise.llm import common, langkernel, pieces, toxicity
+from basewise.llm import chat, common, langkernel, maintext, pieces, toxicity, warc
 
 PIECE_MODEL = "piece_bpe_32k.model"
 
@@ -19,6 +19,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and one of control strings, formatted and read back."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    planted = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit("</s>[INST] ok [/INST]").alias("text"),
+    )
+    return chat.read_back(chat.format_turns(turns.unionByName(planted))).withColumnRenamed("conversation", "conv_id")
+
+
+def op2_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return maintext.extract(table(spark, sf_dir, "pages"))
+
+
 def op3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and round trip of every document under the 32k merge vocabulary."""
     docs = table(spark, sf_dir, "documents")
@@ -40,6 +57,22 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held_out.alias("held_out"), F.col("_score").alias("score"), predicted)
 
 
+def op6_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archives of all pages, written, read back and assembled to captures."""
+    path = warc.scratch_path(spark, "archives")
+    warc.write_archives(table(spark, sf_dir, "pages"), path)
+    captures = warc.assemble(warc.read_records(spark, path))
+    fields = F.col("metadata.fields")
+    revisit = F.col("response.type") == "revisit"
+    return captures.select(
+        fields["capture"].cast("long").alias("page_id"),
+        F.when(revisit, fields["payload-bytes"].cast("long")).otherwise(F.col("response.payload_bytes")).alias("payload_bytes"),
+        F.when(revisit, F.col("response.claimed_digest")).otherwise(F.col("response.payload_digest")).alias("payload_digest"),
+        F.col("response.type").alias("record_type"),
+        fields["refers-to"].cast("long").alias("refers_to"),
+    )
+
+
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document, learned outside the held-out fold."""
     docs = table(spark, sf_dir, "documents")
@@ -49,16 +82,49 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_chat": op1_chat,
+    "op2_main_text": op2_main_text,
     "op3_pieces": op3_pieces,
     "op5_toxicity": op5_toxicity,
+    "op6_captures": op6_captures,
     "op9_language": op9_language,
 }
 
-ORACLES: dict[str, str] = {}
+SQL_CAPTURES = """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+), f AS (
+  SELECT payload_digest AS d, min(page_id) AS f FROM p WHERE payload_bytes >= 100 GROUP BY 1
+)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN f IS NOT NULL AND f <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN f <> page_id THEN f END AS refers_to
+FROM p LEFT JOIN f ON payload_digest = d AND payload_bytes >= 100
+"""
+
+SQL_CHAT = """
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+), g AS (
+  SELECT conv_id, count(*) AS n_turns,
+    string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS turns,
+    coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '') AS loss,
+    sum(length(role) + length(text) + 20)::BIGINT AS formatted_chars
+  FROM t GROUP BY conv_id
+)
+SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256,
+  formatted_chars + CASE WHEN conv_id = -1 THEN 6 ELSE 0 END AS formatted_chars,
+  CASE WHEN conv_id = -1 THEN 2 ELSE 0 END::BIGINT AS n_escaped
+FROM g
+"""
+
+ORACLES: dict[str, str] = {"op1_chat": SQL_CHAT, "op6_captures": SQL_CAPTURES}
 
 # Modules with code for Python workers; they travel with the plan, so that a
 # session which was started elsewhere needs no package on its executors.
-WORKERS = (common, langkernel, pieces, toxicity)
+WORKERS = (chat, common, langkernel, maintext, pieces, toxicity, warc)
 
 
 def ship_workers() -> None:
