@@ -9,7 +9,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basewise.llm import chat, common, langkernel, maintext, pieces, toxicity, warc
+from basewise.llm import chat, common, langkernel, licenses, maintext, ngram, pieces, shingles, toxicity, warc
 
 PIECE_MODEL = "piece_bpe_32k.model"
 
@@ -73,6 +73,11 @@ def op6_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License notices of every document."""
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document, learned outside the held-out fold."""
     docs = table(spark, sf_dir, "documents")
@@ -81,13 +86,27 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, perplexity and verdict of every document."""
+    out = ngram.judge(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), keep_text=False)
+    return out.select(
+        "doc_id",
+        *[F.col(f"_stats.{c}").alias(c) for c in ngram.STATS],
+        F.col("_base_failed").alias("base_failed"),
+        F.col("_kept").alias("kept"),
+        F.col("_log_ppl").alias("log_ppl"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat": op1_chat,
     "op2_main_text": op2_main_text,
     "op3_pieces": op3_pieces,
     "op5_toxicity": op5_toxicity,
     "op6_captures": op6_captures,
+    "op7_licenses": op7_licenses,
     "op9_language": op9_language,
+    "op10_quality": op10_quality,
 }
 
 SQL_CAPTURES = """
@@ -120,11 +139,53 @@ SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss) AS loss_cha
 FROM g
 """
 
-ORACLES: dict[str, str] = {"op1_chat": SQL_CHAT, "op6_captures": SQL_CAPTURES}
+
+
+def sql_list(values: list[str]) -> str:
+    """A SQL list of texts."""
+    return "[" + ", ".join("'" + v + "'" for v in values) + "]"
+
+
+def sql_licenses() -> str:
+    """The license scan with list functions, every template against every line."""
+    hits = " UNION ALL ".join(
+        f"SELECT r, pos, '{label}' AS label FROM n WHERE "
+        + " AND ".join(f"w{k} = '{word}'" for k, word in enumerate(phrase.split()))
+        for phrase, label in licenses.PHRASES.items()
+    )
+    longest = max(len(phrase.split()) for phrase in licenses.PHRASES)
+    leads = ", ".join(f"lead(word, {k}) OVER o AS w{k}" for k in range(longest))
+    templates = ", ".join(f"('{label}', {sql_list(sorted(set(text.split())))})" for label, text in licenses.TEMPLATES)
+    word = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+    lower = f"translate(coalesce(text, ''), '{licenses.UPPER}', '{licenses.LOWER}')"
+    return f"""
+WITH d AS (SELECT doc_id, {lower} AS t, row_number() OVER () AS r FROM documents),
+w AS (SELECT doc_id, r, regexp_extract_all(t, {word}) AS w FROM d),
+u AS (SELECT r, unnest(w) AS word, unnest(range(len(w))) AS pos FROM w),
+n AS (SELECT r, pos, {leads} FROM u WINDOW o AS (PARTITION BY r ORDER BY pos)),
+h AS ({hits}),
+b AS (SELECT r, count(*) AS n_base, min(pos) AS first_word, max(pos) AS last_word, list(DISTINCT label) AS base FROM h GROUP BY r),
+lines AS (SELECT r, list_distinct(regexp_extract_all(line, {word})) AS words FROM (SELECT r, unnest(string_split(t, chr(10))) AS line FROM d)),
+t(label, words) AS (VALUES {templates}),
+m AS (
+  SELECT r, label, len(list_intersect(lines.words, t.words)) / len(t.words) AS c
+  FROM lines, t WHERE list_has_any(lines.words, t.words)
+    AND len(list_intersect(lines.words, t.words)) >= ceil({licenses.THRESHOLD} * len(t.words) - 1e-9)
+),
+best AS (SELECT r, list(DISTINCT label) AS found, max(c) AS c FROM m GROUP BY r)
+SELECT doc_id, len(w) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+  array_to_string(list_sort(coalesce(base, [])), ',') AS base_labels,
+  array_to_string(list_sort(list_distinct(coalesce(base, []) || coalesce(found, []))), ',') AS labels,
+  CASE WHEN n_base > 0 THEN 1.0 ELSE coalesce(c, 0.0) END::DOUBLE AS score
+FROM w LEFT JOIN b USING (r) LEFT JOIN best USING (r)
+"""
+
+
+ORACLES: dict[str, str] = {"op7_licenses": sql_licenses(), "op1_chat": SQL_CHAT, "op6_captures": SQL_CAPTURES}
 
 # Modules with code for Python workers; they travel with the plan, so that a
 # session which was started elsewhere needs no package on its executors.
-WORKERS = (chat, common, langkernel, maintext, pieces, toxicity, warc)
+WORKERS = (chat, common, langkernel, maintext, ngram, pieces, shingles, toxicity, warc)
 
 
 def ship_workers() -> None:

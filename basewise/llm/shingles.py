@@ -21,11 +21,12 @@ INVERSE = pow(MULTIPLIER, -1, 1 << 64)
 RUN_BYTES = 1 << 20
 
 
-def _byte_values() -> np.ndarray:
-    """One fixed random-looking 64-bit value per byte; upper case equals lower case."""
+def _byte_values(fold: bool) -> np.ndarray:
+    """One fixed random-looking 64-bit value per byte; with ``fold`` upper case equals lower case."""
     digest = b"".join(hashlib.sha256(bytes([i])).digest()[:8] for i in range(256))
     values = np.frombuffer(digest, dtype="<u8").copy()
-    values[65:91] = values[97:123]
+    if fold:
+        values[65:91] = values[97:123]
     return values
 
 
@@ -41,7 +42,7 @@ def _powers(base: int, count: int) -> np.ndarray:
     return out
 
 
-VALUES = _byte_values()
+VALUES = {fold: _byte_values(fold) for fold in (False, True)}
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[32, *range(9, 14)]] = True
 
@@ -58,8 +59,9 @@ def mix(x: np.ndarray) -> np.ndarray:
 class Shingler:
     """Hash sets of the word shingles of texts."""
 
-    def __init__(self, size: int) -> None:
+    def __init__(self, size: int, fold: bool = True) -> None:
         self.size = size
+        self.values = VALUES[fold]
         self._up = _powers(MULTIPLIER, 1 << 16)
         self._down = _powers(INVERSE, 1 << 16)
         self._weights = _powers(0xD6E8FEB86659FD93, size + 1)
@@ -78,7 +80,7 @@ class Shingler:
         edges = np.flatnonzero(inside[1:] != inside[:-1])
         starts, ends = edges[::2], edges[1::2]
         sums = np.zeros(len(data) + 1, dtype=np.uint64)
-        np.cumsum(VALUES[data] * self._up[: len(data)], out=sums[1:])
+        np.cumsum(self.values[data] * self._up[: len(data)], out=sums[1:])
         return starts, mix((sums[ends] - sums[starts]) * self._down[starts] + (ends - starts).astype(np.uint64))
 
     def sets(self, texts: list[bytes]) -> Iterator[np.ndarray]:
