@@ -62,7 +62,7 @@ def lines_of(text: Column) -> Column:
     # lower() is quick, and equal to the plain rule but for two letters that become ASCII ones.
     plain = ~(F.contains(text, F.lit("\u0130")) | F.contains(text, F.lit("\u212a")))
     lowered = F.when(plain, F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
-    return F.transform(F.split(F.regexp_replace(lowered, BETWEEN, GAP), "\n"), F.trim)
+    return F.transform(F.split(F.regexp_replace(lowered, BETWEEN, GAP), "\n"), lambda line: F.trim(line))
 
 
 def count_gaps(words: Column) -> Column:
