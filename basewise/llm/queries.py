@@ -9,7 +9,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basewise.llm import chat, common, langkernel, licenses, maintext, ngram, pieces, shingles, toxicity, warc
+from basewise.llm import chat, common, langkernel, leaks, licenses, maintext, ngram, pieces, shingles, toxicity, warc
 
 PIECE_MODEL = "piece_bpe_32k.model"
 
@@ -78,6 +78,14 @@ def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op8_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every benchmark item that stands in a document, with its edit distance."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = leaks.mark_leaks(docs, table(spark, sf_dir, "benchmark"))
+    each = found.select("doc_id", F.explode("_leaks").alias("leak"))
+    return each.select("doc_id", "leak.item_id", "leak.distance")
+
+
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document, learned outside the held-out fold."""
     docs = table(spark, sf_dir, "documents")
@@ -105,6 +113,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_toxicity": op5_toxicity,
     "op6_captures": op6_captures,
     "op7_licenses": op7_licenses,
+    "op8_leaks": op8_leaks,
     "op9_language": op9_language,
     "op10_quality": op10_quality,
 }
@@ -185,7 +194,7 @@ ORACLES: dict[str, str] = {"op7_licenses": sql_licenses(), "op1_chat": SQL_CHAT,
 
 # Modules with code for Python workers; they travel with the plan, so that a
 # session which was started elsewhere needs no package on its executors.
-WORKERS = (chat, common, langkernel, maintext, ngram, pieces, shingles, toxicity, warc)
+WORKERS = (chat, common, langkernel, leaks, maintext, ngram, pieces, shingles, toxicity, warc)
 
 
 def ship_workers() -> None:
