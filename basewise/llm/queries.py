@@ -9,7 +9,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basewise.llm import chat, common, langkernel, leaks, licenses, maintext, ngram, pieces, shingles, toxicity, warc
+from basewise.llm import chat, common, jaccard, langkernel, leaks, licenses, maintext, ngram, pieces, shingles, toxicity, warc
 
 PIECE_MODEL = "piece_bpe_32k.model"
 
@@ -48,6 +48,12 @@ def remainder(modulus: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus
 
 
+def op4_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents linked at 85 % of their four-word shingles."""
+    out = jaccard.link_documents(table(spark, sf_dir, "documents"), size=4, percent=85)
+    return out.withColumnRenamed("component", "component_id")
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document, learned outside the held-out fold."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -110,6 +116,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat": op1_chat,
     "op2_main_text": op2_main_text,
     "op3_pieces": op3_pieces,
+    "op4_jaccard": op4_jaccard,
     "op5_toxicity": op5_toxicity,
     "op6_captures": op6_captures,
     "op7_licenses": op7_licenses,
@@ -194,7 +201,7 @@ ORACLES: dict[str, str] = {"op7_licenses": sql_licenses(), "op1_chat": SQL_CHAT,
 
 # Modules with code for Python workers; they travel with the plan, so that a
 # session which was started elsewhere needs no package on its executors.
-WORKERS = (chat, common, langkernel, leaks, maintext, ngram, pieces, shingles, toxicity, warc)
+WORKERS = (chat, common, jaccard, langkernel, leaks, maintext, ngram, pieces, shingles, toxicity, warc)
 
 
 def ship_workers() -> None:
