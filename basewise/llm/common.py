@@ -11,7 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT = "spark.checkpoint.dir"
 # Arrow batches are worked on in runs of at most about this many characters.
-RUN_CHARS = 4_000_000
+RUN_CHARS = 1_000_000
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_ROWS = 1_000
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -25,6 +27,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One of the given tables. Arrow batches are kept to rows of whole texts, unless the session says how large they are."""
+    if spark.conf.get(BATCH) == "10000":
+        spark.conf.set(BATCH, BATCH_ROWS)
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Compute once, keep in the shared folder, forget the lineage."""
     ensure_checkpoint_dir(df.sparkSession)

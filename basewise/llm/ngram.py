@@ -44,7 +44,7 @@ SHARD_NGRAMS = 4_000_000
 DEVIATIONS = 8.0
 LEAST_BELOW, LEAST_ABOVE = 0.3, 0.9
 # Distinct n-grams that a task holds before it sends them.
-HELD_NGRAMS = 3_000_000
+HELD_NGRAMS = 1_000_000
 WHITE = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
 
@@ -94,7 +94,7 @@ def count_ngrams(docs: DataFrame, text: str, lang: str) -> DataFrame:
                 keys = keys_of(text_)
                 waiting.setdefault(name, []).append(keys)
                 size += len(keys)
-                if size > 2_000_000:
+                if size > 1_000_000:
                     for waits in list(waiting):
                         fold(waits)
                     size = 0
@@ -297,36 +297,6 @@ def train(docs: DataFrame, text: str, lang: str, shard_ngrams: int = SHARD_NGRAM
     return out
 
 
-def add_log_chance(docs: DataFrame, model: dict, text: str, lang: str, total: str) -> DataFrame:
-    """Adds what one shard predicts to the column ``total``."""
-    shard, of_symbol, first, shipped = model["shard"], model["of_symbol"], model["first"], model["model"]
-    names = docs.columns
-    t, g, s = names.index(text), names.index(lang), names.index(total)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-
-    def make() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
-        models: dict[str, ShardModel] = {}
-
-        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            sums = []
-            for body, name, so_far in zip(texts_of(batch.column(t)), batch.column(g).to_pylist(), batch.column(s).to_pylist(), strict=True):
-                name = "" if name is None else str(name)
-                if body and name in shipped.value:
-                    if name not in models:
-                        models[name] = ShardModel(unpack(shipped.value[name]), first[name])
-                    keys = keys_of(body)
-                    own = of_symbol[(keys >> BITS) & MASKS[1]] == shard
-                    so_far += float(models[name].log_chances(keys if own.all() else keys[own]).sum())
-                sums.append(so_far)
-            columns = list(batch.columns)
-            columns[s] = pa.array(sums, pa.float64())
-            return pa.RecordBatch.from_arrays(columns, names)
-
-        return step
-
-    return map_batches(docs, text, make, schema)
-
-
 STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
@@ -355,19 +325,37 @@ def statistics(text: str, words: Shingler) -> tuple[int, int, int, int, int]:
     return n, len(text) - sum(map(text.count, WHITE)), sum(map(text.count, SYMBOLS)), copies, repeated
 
 
-def add_statistics(docs: DataFrame, text: str) -> DataFrame:
-    """All columns of ``docs`` and a struct column ``_stats``."""
-    t = docs.columns.index(text)
-    names = [*docs.columns, "_stats"]
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema] + ["_stats struct<" + ", ".join(f"{c}: bigint" for c in STATS) + ">"])
+def add_scores(docs: DataFrame, model: dict | None, text: str, lang: str, with_stats: bool) -> DataFrame:
+    """Adds what one shard predicts to the column ``_log_ppl``; fills ``_stats`` on the way ``with_stats``."""
+    names = docs.columns
+    t, g, s, c = (names.index(n) for n in (text, lang, "_log_ppl", "_stats"))
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
 
     def make() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
+        models: dict[str, ShardModel] = {}
         words = Shingler(3, fold=False)
 
+        def chances(body: str, name: str) -> float:
+            shipped = model["model"].value
+            if not body or name not in shipped:
+                return 0.0
+            if name not in models:
+                models[name] = ShardModel(unpack(shipped[name]), model["first"][name])
+            keys = keys_of(body)
+            own = model["of_symbol"][(keys >> BITS) & MASKS[1]] == model["shard"]
+            return float(models[name].log_chances(keys if own.all() else keys[own]).sum())
+
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            found = np.array([statistics(b, words) for b in texts_of(batch.column(t))], dtype=np.int64).reshape(-1, len(STATS))
-            struct = pa.StructArray.from_arrays([pa.array(found[:, i]) for i in range(len(STATS))], list(STATS))
-            return pa.RecordBatch.from_arrays([*batch.columns, struct], names)
+            columns = list(batch.columns)
+            bodies = texts_of(columns[t])
+            if model is not None:
+                rows = zip(bodies, columns[g].to_pylist(), columns[s].to_pylist(), strict=True)
+                sums = [so_far + chances(body, "" if name is None else str(name)) for body, name, so_far in rows]
+                columns[s] = pa.array(sums, pa.float64())
+            if with_stats:
+                found = np.array([statistics(b, words) for b in bodies], dtype=np.int64).reshape(-1, len(STATS))
+                columns[c] = pa.StructArray.from_arrays([pa.array(found[:, i]) for i in range(len(STATS))], list(STATS))
+            return pa.RecordBatch.from_arrays(columns, names)
 
         return step
 
@@ -376,9 +364,10 @@ def add_statistics(docs: DataFrame, text: str) -> DataFrame:
 
 def scored(docs: DataFrame, models: list[dict], text: str, lang: str) -> DataFrame:
     """All columns of ``docs``, ``_stats``, ``_base_failed`` and ``_log_ppl`` (nats per character, null without text)."""
-    found = add_statistics(docs, text).withColumn("_log_ppl", F.lit(0.0))
-    for model in models:
-        found = add_log_chance(found, model, text, lang, "_log_ppl")
+    kind = "struct<" + ", ".join(f"{c}: bigint" for c in STATS) + ">"
+    found = docs.withColumn("_log_ppl", F.lit(0.0)).withColumn("_stats", F.lit(None).cast(kind))
+    for i, model in enumerate(models or [None]):
+        found = add_scores(found, model, text, lang, with_stats=i == 0)
     n, repeated = F.col("_stats.n_words"), F.col("_stats.n_repeat_words")
     size = F.length(text)
     return found.withColumn("_base_failed", (n < 50) | (repeated * 100 > n * 50)).withColumn(

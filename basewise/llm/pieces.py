@@ -35,7 +35,7 @@ NONE = np.int32(2**31 - 1)
 # Chunks of up to this many symbols are encoded side by side.
 SHORT = 48
 # Remembered chunks per task; their number bounds memory, not results.
-REMEMBERED = 400_000
+REMEMBERED = 300_000
 
 
 class MergeTable:

@@ -10,15 +10,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basewise.llm import chat, common, jaccard, langkernel, leaks, licenses, maintext, ngram, pieces, shingles, toxicity, warc
+from basewise.llm.common import table
 
 PIECE_MODEL = "piece_bpe_32k.model"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the given tables."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-
-
 def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and one of control strings, formatted and read back."""
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")

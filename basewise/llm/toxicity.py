@@ -35,6 +35,8 @@ SAMPLE_CLEAN = 12_000
 # Learnt stems that the grammar holds, at most (the most significant).
 STEMS = 20_000
 SHORTEST, LONGEST = 4, 8
+# Stems that a task counts before it sends them.
+HELD_STEMS = 150_000
 # Log probability by chance that a stem may have, over all stems looked at.
 CHANCE = -4.0
 
@@ -166,7 +168,7 @@ def stem_evidence(sample: DataFrame) -> DataFrame:
                             found[toxic] |= bit
                             found[2] += toxic
                     before = word
-                if len(counts) > 1_000_000:
+                if len(counts) > HELD_STEMS:
                     yield flush()
         yield flush()
 

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from basewise.llm import jaccard, leaks, ngram, pieces, toxicity
-from basewise.llm.common import settle
+from basewise.llm.common import settle, table
 from basewise.llm.queries import PIECE_MODEL, ship_workers
 from basewise.llm.warc import scratch_path
 from basewise.operators.skew import splittable
@@ -25,11 +25,6 @@ ship_workers()
 SHINGLE_WORDS, SIMILARITY_PERCENT = 5, 80
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the given tables."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-
-
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity grammar, learned from the labelled ones, does not reject."""
     scored = toxicity.score(docs, table(spark, sf_dir, "labels"))
