@@ -27,6 +27,11 @@ def _star(edges: DataFrame) -> DataFrame:
     return hung.where("u != v").distinct()
 
 
+def _mark(edges: DataFrame) -> tuple:
+    """Count and summed hash, to tell whether a round changed anything."""
+    return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.hash("u", "v").cast("long"))).first())
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``node`` and ``component`` (its smallest node) of every node with an edge to another.
 
@@ -35,13 +40,14 @@ def components(edges: DataFrame) -> DataFrame:
     """
     a, b = edges.columns
     current = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u != v").distinct()
-    mark = None
+    current = settle(current)
+    mark = _mark(current)
     for _ in range(MOST_ROUNDS):
         current = settle(_star(current))
-        seen = current.agg(F.count(F.lit(1)), F.sum(F.hash("u", "v").cast("long"))).first()
-        if tuple(seen) == mark:
+        seen = _mark(current)
+        if seen == mark:
             return current.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
                 current.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
             )
-        mark = tuple(seen)
+        mark = seen
     raise RuntimeError("the stars did not settle")

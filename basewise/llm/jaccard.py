@@ -30,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from basewise.llm.common import runs, settle, texts_of
@@ -130,14 +130,12 @@ def candidate_clusters(signed: DataFrame, groups: DataFrame, percent: int) -> Da
         F.explode("prefix").alias("token"), F.col("key").alias("group"), F.floor(F.log(F.col("n").cast("double")) / step + 1e-9).cast("int").alias("c")
     )
     posts = posts.withColumn("token", F.shiftrightunsigned("token", 16))
-    shared = posts.groupBy("token").agg(F.count(F.lit(1)).alias("m"), F.min("c").alias("least_c"), F.max("c").alias("most_c")).where("m > 1").select(F.col("token").alias("t"))
-    left, right, condition = splittable(posts, shared, [("token", "t")])
-    # Sizes that can match lie in one class or in neighbouring ones: each group stands in its own and the next.
-    placed = left.join(right, condition).select("token", "group", F.explode(F.array("c", F.col("c") + 1)).alias("c"))
-    placed = settle(placed)
-    hubs = placed.groupBy(F.col("token").alias("t"), F.col("c").alias("k")).agg(F.min("group").alias("hub"), F.max("group").alias("most")).where("hub < most").drop("most")
-    left, right, condition = splittable(placed, hubs, [("token", "t"), ("c", "k")])
-    return components(left.join(right, condition).where("group != hub").select("group", "hub").distinct())
+    # One shuffle by token: what is alone with its token goes, the rest finds its hub. Sizes that can
+    # match lie in one class or in neighbouring ones, so each group stands in its own and the next.
+    shared = posts.withColumn("m", F.count(F.lit(1)).over(Window.partitionBy("token"))).where("m > 1")
+    placed = shared.select("token", "group", F.explode(F.array("c", F.col("c") + 1)).alias("c"))
+    hung = placed.withColumn("hub", F.min("group").over(Window.partitionBy("token", "c")))
+    return components(hung.where("group != hub").select("group", "hub").distinct())
 
 
 class Cluster:
