@@ -14,7 +14,8 @@
 
 Frequencies are counted over all texts in an array of fixed size (shingles of one
 place share a count). The order only decides which shingles are looked at first,
-any order gives the same links.
+any order gives the same links; but where a place holds very many shingles, only
+the most frequent ones stand out, and clusters of candidates grow.
 
 Results: a text without words is its own component. Rows of one id are one
 document for the component, and get its smallest; a null id gets no component.
@@ -39,9 +40,10 @@ from basewise.llm.shingles import Shingler
 from basewise.operators.skew import splittable
 
 # Places of the frequency array, and the parts in which it is summed.
-PLACES, PARTS = 1 << 20, 64
+PLACE_BITS, PARTS = 22, 64
+PLACES = 1 << PLACE_BITS
 # Shingles of a block of members (8 bytes each).
-BLOCK_SHINGLES = 1_000_000
+BLOCK_SHINGLES = 2_000_000
 
 
 def frequencies(docs: DataFrame, size: int) -> np.ndarray:
@@ -51,16 +53,18 @@ def frequencies(docs: DataFrame, size: int) -> np.ndarray:
 
     def rows(total: np.ndarray) -> pa.RecordBatch:
         parts = np.flatnonzero(total.reshape(PARTS, width).any(axis=1))
-        counts = [total[p * width : (p + 1) * width].astype("<u4").tobytes() for p in parts]
+        # A task's count of a place stops at 255: what is frequent still adds up over tasks.
+        counts = [np.minimum(total[p * width : (p + 1) * width], 255).astype("u1").tobytes() for p in parts]
         return pa.RecordBatch.from_arrays([pa.array(parts, pa.int32()), pa.array(counts, pa.binary())], names)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(size)
-        total = np.zeros(PLACES, dtype=np.int64)
+        total = np.zeros(PLACES, dtype=np.int32)
         for batch in batches:
             for part in runs(batch, "text"):
                 found = list(shingler.sets([t.encode() for t in texts_of(part.column(1))]))
-                total += np.bincount(place_of(np.concatenate(found)), minlength=PLACES)
+                places, counts = np.unique(place_of(np.concatenate(found)), return_counts=True)
+                total[places] += counts.astype(np.int32)
         if total.any():
             yield rows(total)
 
@@ -69,21 +73,21 @@ def frequencies(docs: DataFrame, size: int) -> np.ndarray:
         for batch in batches:
             for part, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 held.setdefault(part, np.zeros(width, dtype=np.int64))
-                held[part] += np.frombuffer(counts, dtype="<u4")
+                held[part] += np.frombuffer(counts, dtype="u1")
         keys = sorted(held)
-        counts = [np.minimum(held[k], 2**32 - 1).astype("<u4").tobytes() for k in keys]
+        counts = [np.minimum(held[k], 2**16 - 1).astype("<u2").tobytes() for k in keys]
         yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int32()), pa.array(counts, pa.binary())], names)
 
     counted = docs.mapInArrow(count, "part int, counts binary")
-    out = np.zeros(PLACES, dtype=np.uint32)
+    out = np.zeros(PLACES, dtype=np.uint16)
     for r in counted.repartition("part").mapInArrow(add, "part int, counts binary").collect():
-        out[r["part"] * width : (r["part"] + 1) * width] = np.frombuffer(r["counts"], dtype="<u4")
+        out[r["part"] * width : (r["part"] + 1) * width] = np.frombuffer(r["counts"], dtype="<u2")
     return out
 
 
 def place_of(hashes: np.ndarray) -> np.ndarray:
     """Place of shingles in the frequency array."""
-    return (hashes >> np.uint64(64 - 20)).astype(np.int64)
+    return (hashes >> np.uint64(64 - PLACE_BITS)).astype(np.int64)
 
 
 def digest(values: np.ndarray, salt: int) -> tuple[int, int]:
