@@ -2,10 +2,10 @@
 
 1. Every text becomes a set of shingle hashes; equal sets are one class.
 2. Shingles are ordered by frequency, rarest first. Two sets that are similar
-   enough share one of the first n - ceil(t n) + 1 shingles (prefix), and their
-   sizes differ little (length). Classes of equal size and prefix are one group.
-3. Groups that share a prefix shingle within neighbouring size classes are
-   candidates. Not their pairs are listed, which may be the square of their number,
+   enough share l of the first n - ceil(t n) + l shingles (prefix), and their sizes
+   differ little (length). Classes of equal size and prefix are one group.
+3. Groups of which fewer than l prefix shingles stand in any other group are done.
+   Others that share a prefix shingle within neighbouring size classes are candidates. Not their pairs are listed, which may be the square of their number,
    but the connected clusters of candidates (each shingle hangs its groups on one).
 4. The members of a cluster are expanded and verified together, exactly, from their
    whole sets; a cluster too large for a task is cut into blocks, and each pair of
@@ -85,6 +85,16 @@ def frequencies(docs: DataFrame, size: int) -> np.ndarray:
     return out
 
 
+def least_common(n: int, percent: int) -> int:
+    """Shingles that a set of ``n`` must share with any set that it is linked to."""
+    return -(-percent * n // 100)
+
+
+def extra(n: int, percent: int) -> int:
+    """Shingles by which a prefix of a set of ``n`` is longer than what must be looked at, and one."""
+    return 1 + n * (100 - percent) // 200
+
+
 def place_of(hashes: np.ndarray) -> np.ndarray:
     """Place of shingles in the frequency array."""
     return (hashes >> np.uint64(64 - PLACE_BITS)).astype(np.int64)
@@ -112,7 +122,7 @@ def signatures(docs: DataFrame, size: int, percent: int, order: np.ndarray) -> D
                 prefixes = []
                 for found in shingler.sets([t.encode() for t in texts_of(part.column(1))]):
                     n = len(found)
-                    first = found[np.argsort(shipped.value[place_of(found)], kind="stable")[: n - -(-percent * n // 100) + 1]]
+                    first = found[np.argsort(shipped.value[place_of(found)], kind="stable")[: n - least_common(n, percent) + extra(n, percent)]]
                     prefixes.append(first)
                     for column, value in zip(columns, (n, *digest(found, 1), *digest(first, n)), strict=True):
                         column.append(value)
@@ -130,14 +140,16 @@ def candidate_clusters(signed: DataFrame, groups: DataFrame, percent: int) -> Da
     prefixes = signed.join(groups.select(F.col("group").alias("key"), F.col("n").alias("group_n")), "key", "left_semi")
     step = math.log(100 / percent)
     # 48 bits of a shingle suffice: a clash only makes a cluster larger.
-    posts = prefixes.dropDuplicates(["key"]).select(
-        F.explode("prefix").alias("token"), F.col("key").alias("group"), F.floor(F.log(F.col("n").cast("double")) / step + 1e-9).cast("int").alias("c")
-    )
+    posts = prefixes.dropDuplicates(["key"]).select(F.explode("prefix").alias("token"), F.col("key").alias("group"), "n")
     posts = posts.withColumn("token", F.shiftrightunsigned("token", 16))
-    # One shuffle by token: what is alone with its token goes, the rest finds its hub. Sizes that can
-    # match lie in one class or in neighbouring ones, so each group stands in its own and the next.
     shared = posts.withColumn("m", F.count(F.lit(1)).over(Window.partitionBy("token"))).where("m > 1")
-    placed = shared.select("token", "group", F.explode(F.array("c", F.col("c") + 1)).alias("c"))
+    # Prefixes that are longer by l - 1 share l shingles, l that of the smaller set; its size is at least this one's least_common.
+    smallest = F.ceil(F.col("n") * percent / 100 - 1e-9)
+    asked = F.floor(smallest * (100 - percent) / 200 + 1e-9) + 1
+    able = shared.withColumn("s", F.count(F.lit(1)).over(Window.partitionBy("group"))).where(F.col("s") >= asked)
+    # Sizes that can match lie in one class or in neighbouring ones, so each group stands in its own and the next.
+    c = F.floor(F.log(F.col("n").cast("double")) / step + 1e-9).cast("int")
+    placed = able.select("token", "group", F.explode(F.array(c, c + 1)).alias("c"))
     hung = placed.withColumn("hub", F.min("group").over(Window.partitionBy("token", "c")))
     return components(hung.where("group != hub").select("group", "hub").distinct())
 
