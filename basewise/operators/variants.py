@@ -48,7 +48,7 @@ def windows(
     df: DataFrame,
     sequence: str = "sequence",
     width: int = WINDOW,
-    short: str = "reference",
+    short: str = "all",
     partitions: int | str | None = "auto",
 ) -> DataFrame:
     """One row per position: ``transcript_position`` (1-based), ``ref``, ``wildSequence``, ``window_index``.
@@ -56,8 +56,8 @@ def windows(
     The window is ``width`` characters around the position, moved inwards at both
     ends so that it never leaves the sequence; ``window_index`` is the 0-based
     place of the position in it. A sequence of at most ``width`` characters is
-    its own window, and with ``short='reference'`` only its first
-    ``width // 2 + 1`` positions are produced (``short='all'`` produces all).
+    its own window; ``short='reference'`` produces only its first
+    ``width // 2 + 1`` positions (by default all are produced).
 
     The output is hundreds of times the input, so the chunks are first dealt out
     evenly over ``partitions`` tasks: one long sequence, or many copies of one,
@@ -102,17 +102,26 @@ def windows(
     )
 
 
-def alternates(df: DataFrame, wildtype: bool = True) -> DataFrame:
+def alternates(df: DataFrame, wildtype: bool = True, unknown: str = "all") -> DataFrame:
     """Windows -> three alternates per position, plus the wildtype row.
 
-    A base outside the alphabet (N, lower case) would leave four candidates; the
-    first three of the alphabet are taken and the last one's row is the wildtype.
+    A base outside the alphabet (N, lower case) has four alternates and the
+    wildtype row; with ``unknown='reference'`` the first three of the alphabet
+    are taken and the last one's row is the wildtype.
     """
+    if unknown not in ("reference", "all"):
+        raise ValueError("unknown must be 'reference' or 'all'")
     keep = [c for c in df.columns if c not in ("wildSequence", "window_index")]
     ref, letter = F.col("ref"), F.col("_letter")
     outside = ~ref.isin(*BASES)
-    own = (letter == ref) | (outside & (letter == BASES[-1]))
-    rows = df.select("*", F.explode(F.array(*[F.lit(b) for b in BASES])).alias("_letter"))
+    bases = [F.lit(b) for b in BASES]
+    if unknown == "all":
+        own = letter == ref
+        letters = F.when(outside, F.array(*bases, ref)).otherwise(F.array(*bases))
+    else:
+        own = (letter == ref) | (outside & (letter == BASES[-1]))
+        letters = F.array(*bases)
+    rows = df.select("*", F.explode(letters).alias("_letter"))
     if not wildtype:
         rows = rows.where(~own)
     return rows.select(
@@ -130,7 +139,7 @@ def variants(
     df: DataFrame,
     sequence: str = "sequence",
     width: int = WINDOW,
-    short: str = "reference",
+    short: str = "all",
     partitions: int | str | None = "auto",
 ) -> DataFrame:
     """Sequences -> the variants table: four rows per position, one of them the wildtype."""

@@ -59,7 +59,7 @@ def _hot_genomic(df: DataFrame, keys: tuple[str, ...] = GENOMIC_KEY) -> DataFram
     return hot_keys(df, keys, fraction=SAMPLE)
 
 
-def variants(spark: SparkSession, fasta: str, out: str, record_type: str = "NM", partitions: int = 5000) -> None:
+def variants(spark: SparkSession, fasta: str, out: str, record_type: str | None = None, partitions: int = 5000) -> None:
     """FASTA -> variants table."""
     records = read_fasta(spark, fasta, record_type)
     write_parquet(expand_variants(records, partitions=int(partitions)), out)
@@ -111,7 +111,7 @@ def join(spark: SparkSession, distances: str, pdists: str, out: str) -> None:
     write_parquet(join_scores(spark.read.parquet(distances), spark.read.parquet(pdists)), out)
 
 
-def map_genome(spark: SparkSession, source: str, out: str, gff3: str, prefix: str = "NM") -> None:
+def map_genome(spark: SparkSession, source: str, out: str, gff3: str, prefix: str | None = None) -> None:
     """Transcript positions to genomic positions."""
     write_parquet(map_positions(spark.read.parquet(source), read_alignments(spark, gff3), prefix), out)
 

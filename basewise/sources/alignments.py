@@ -2,25 +2,28 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Comment and unplaced-contig line prefixes, the accession's number.
-SKIPPED_PREFIXES = ("#", "NT_")
+# Fixed value: the accession's number.
 ACCESSION_NUMBER = r"([0-9]*)\."
 
 
-def parse_alignments(lines: DataFrame, text: str = "value") -> DataFrame:
+def parse_alignments(lines: DataFrame, text: str = "value", skip_prefixes: Sequence[str] = ("#",)) -> DataFrame:
     """Text lines -> one row per alignment segment.
 
     Columns: ``sequence, chromosome, sense, score, genomic_start, genomic_end,
     transcript_id, transcript_start, transcript_end, gap`` with ``gap`` an
     ``array<struct<op:string,len:int>>`` or null for an ungapped segment.
+    Lines that begin with one of ``skip_prefixes`` are left out (``("#", "NT_")``
+    leaves out unplaced contigs as well as comments).
     Mitochondrial and patch accessions keep the number found in their name as
     chromosome number; 23 and 24 are written as X and Y.
     """
     value = F.col(text)
-    for prefix in SKIPPED_PREFIXES:
+    for prefix in skip_prefixes:
         lines = lines.where(~value.startswith(prefix))
     lines = lines.where(F.trim(value) != "")
 
@@ -54,6 +57,6 @@ def parse_alignments(lines: DataFrame, text: str = "value") -> DataFrame:
     )
 
 
-def read_alignments(spark: SparkSession, path: str) -> DataFrame:
+def read_alignments(spark: SparkSession, path: str, skip_prefixes: Sequence[str] = ("#",)) -> DataFrame:
     """Read alignment segments from GFF3 text."""
-    return parse_alignments(spark.read.text(path))
+    return parse_alignments(spark.read.text(path), skip_prefixes=skip_prefixes)

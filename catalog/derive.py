@@ -13,16 +13,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def dealt(df: DataFrame) -> DataFrame:
-    """Deal out the rows of an input that has fewer splits than the session has cores.
-
-    The small test files are one or two splits each. An input that is large
-    enough to fill the cores is left alone.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def text(column: Column) -> Column:
     """A number as text."""
     return column.cast("string")
@@ -65,8 +55,7 @@ seqs AS (
 SQL_WINDOWS = """
 positions AS (
   SELECT nm_id, sequence, length(sequence) AS n,
-         unnest(range(1, 1 + CASE WHEN length(sequence) > 101 THEN length(sequence)
-                                  ELSE least(length(sequence), 51) END)) AS p
+         unnest(range(1, 1 + length(sequence))) AS p
   FROM seqs),
 wins AS (
   SELECT nm_id, p::INTEGER AS transcript_position, substr(sequence, p, 1) AS ref,

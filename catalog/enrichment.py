@@ -22,7 +22,7 @@ from basewise.operators import (
     with_row_metrics,
 )
 from basewise.operators.rollup import KEY_NAMES, ROLLUP_SPEC
-from catalog.derive import dealt, table, text
+from catalog.derive import table, text
 
 SEED = 7
 
@@ -141,7 +141,7 @@ def extremes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _lifted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as lifted variants with every column that the rollup reads."""
-    line = dealt(table(spark, sf_dir, "lineitem").drop("l_shipdate"))
+    line = table(spark, sf_dir, "lineitem").drop("l_shipdate")
     price, quantity = F.col("l_extendedprice"), F.col("l_quantity")
     whole = (quantity - 25).cast("int")
     count = F.when(F.col("l_linenumber") % 2 == 0, whole)

@@ -12,7 +12,6 @@ from catalog.derive import (
     SQL_SEQUENCES,
     SQL_VARIANTS,
     SQL_WINDOWS,
-    dealt,
     md5_bases,
     sequences,
     sql_md5_bases,
@@ -46,7 +45,7 @@ def exon_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
         (start + length - 1).cast("int").alias("transcript_end"),
         F.lit(None).cast("array<struct<op:string,len:int>>").alias("gap"),
     )
-    return dealt(segments)
+    return segments
 
 
 SQL_SEGMENTS = f"""
@@ -62,7 +61,7 @@ segs AS (
 
 def transcript_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Positions of every order, also of orders without segments and past their ends."""
-    orders = dealt(table(spark, sf_dir, "orders").select("o_orderkey"))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey")
     points = orders.select("o_orderkey", F.explode(F.sequence(F.lit(1), F.lit(7 * SLOT + 10), F.lit(STEP))).alias("p"))
     return points.select(
         F.concat(F.lit("NM_"), text(F.col("o_orderkey"))).alias("nm_id"),
@@ -123,7 +122,7 @@ def gapped_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit(" +;gap_count=1;Gap="), gaps,
         ),
     )
-    part = dealt(table(spark, sf_dir, "part").select("p_partkey", "p_size"))
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_size")
     return part.select("p_partkey", line.alias("value"), start.alias("start"), span.alias("span"))
 
 
@@ -285,7 +284,7 @@ def lift_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     part, order, number = F.col("l_partkey"), F.col("l_orderkey"), F.col("l_partkey") % 24 + 1
     chrom = F.when(number == 23, "X").when(number == 24, "Y").otherwise(text(number))
     columns = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-    return dealt(table(spark, sf_dir, "lineitem").select(*columns)).select(
+    return table(spark, sf_dir, "lineitem").select(*columns).select(
         "l_orderkey",
         "l_linenumber",
         F.when(order % 97 != 0, F.when(F.col("l_suppkey") % 29 == 0, F.lit("25")).otherwise(chrom)).alias("chromosome_id"),

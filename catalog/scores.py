@@ -10,7 +10,7 @@ from basewise.operators import attach_wildtype, deltas, parse_annotations, pipe_
 from basewise.operators.pipe import PDIST_INPUT
 from basewise.sources import parse_coverage, parse_distance, parse_fold, parse_pdist
 from basewise.sources.tool_output import FOLD_SCORES, FOLD_STRUCTURES
-from catalog.derive import SQL_SEQUENCES, dealt, sequences, table, text
+from catalog.derive import SQL_SEQUENCES, sequences, table, text
 
 # A stand-in for a distance program: reads records of a key line and two sequences, writes the
 # key and the number of places at which the sequences differ.
@@ -127,7 +127,7 @@ def coverage_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as alternates of their part's wildtype."""
-    line = dealt(table(spark, sf_dir, "lineitem").drop("l_shipdate", "l_returnflag", "l_linestatus"))
+    line = table(spark, sf_dir, "lineitem").drop("l_shipdate", "l_returnflag", "l_linestatus")
     part = table(spark, sf_dir, "part")
     price, sevenths = F.col("l_extendedprice"), F.col("l_extendedprice") / 7
     alternates = line.select(

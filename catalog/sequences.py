@@ -38,7 +38,7 @@ def fasta_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = F.when(F.col("p_size") % 2 == 0, F.lit("NM")).otherwise(F.lit("XR"))
     record = F.concat(
         F.lit("ref|"), kind, F.lit("_"), text(F.col("p_partkey")), F.lit("|"), F.col("p_name"), F.lit("\r\n"),
-        F.left("sequence", F.lit(60)), F.lit("\r\n"), F.substring("sequence", 61, 1000), F.lit("\r\n"),
+        F.left("sequence", F.lit(60)), F.lit("\r\n"), F.substr("sequence", F.lit(61)), F.lit("\r\n"),
     )
     return parse_fasta(joined.select(record.alias("value")), "NM")
 
@@ -53,6 +53,11 @@ def window_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return windows(sequences(spark, sf_dir)).drop("p_partkey")
 
 
+def short_window_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows by the rule that gives only the first positions of short sequences."""
+    return windows(sequences(spark, sf_dir), short="reference").drop("p_partkey")
+
+
 def alternate_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Alternates per transcript, position range and checksum of whole rows, without wildtypes."""
     rows = alternates(windows(sequences(spark, sf_dir)), wildtype=False)
@@ -128,6 +133,7 @@ def chrom_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "fasta_parse": fasta_parse,
     "windows": window_rows,
+    "windows_short": short_window_rows,
     "alternates": alternate_rows,
     "variants": variant_rows,
     "base_changes": base_changes,
@@ -141,6 +147,9 @@ QUERIES = {
 ORACLES = {
     "fasta_parse": SQL_FASTA,
     "windows": f"WITH {SQL_SEQUENCES}, {SQL_WINDOWS} SELECT * FROM wins",
+    "windows_short": f"""
+WITH {SQL_SEQUENCES}, {SQL_WINDOWS}
+SELECT wins.* FROM wins JOIN seqs USING (nm_id) WHERE length(seqs.sequence) > 101 OR transcript_position <= 51""",
     "alternates": f"""
 WITH {SQL_SEQUENCES}, {SQL_WINDOWS}, {SQL_VARIANTS}
 SELECT nm_id, alt, count(*) AS n, min(transcript_position) AS first_position,

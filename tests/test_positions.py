@@ -9,8 +9,8 @@ from basewise.sources import parse_alignments
 from pyspark.sql import functions as F
 
 GFF = (
-    "NC_000002.12 RefSeq cDNA_match 178807212 178807423 212 - . "
-    "ID=70a3;Target=NM_001267550.2 1 212 +;gap_count=0;identity=1"
+    "NC_000004.1 RefSeq cDNA_match 5001 5090 90 - . "
+    "ID=70a3;Target=NM_31.1 1 90 +;gap_count=0;identity=1"
 )
 SEGMENT = (
     "sequence string, chromosome string, sense string, genomic_start int, genomic_end int, transcript_id string, "
@@ -41,27 +41,27 @@ def walked(sense, g_start, t_start, t_end, gaps, mode="reference"):
 
 
 def test_parse_alignment_line(spark):
-    lines = [("##gff",), ("NT_1 x",), (GFF,), (GFF.replace("gap_count=0", "gap_count=1") + ";Gap=M333 D3 M123",)]
+    lines = [("##gff",), (GFF,), (GFF.replace("gap_count=0", "gap_count=1") + ";Gap=M40 D2 M50",)]
     rows = parse_alignments(spark.createDataFrame(lines, "value string")).collect()
     assert len(rows) == 2
     r = rows[0]
-    assert (r.sequence, r.chromosome, r.sense, r.score) == ("NC_000002.12", "2", "-", 212.0)
-    assert (r.genomic_start, r.genomic_end, r.transcript_start, r.transcript_end) == (178807212, 178807423, 1, 212)
-    assert r.transcript_id == "NM_001267550.2" and r.gap is None
-    assert [(g.op, g.len) for g in rows[1].gap] == [("M", 333), ("D", 3), ("M", 123)]
+    assert (r.sequence, r.chromosome, r.sense, r.score) == ("NC_000004.1", "4", "-", 90.0)
+    assert (r.genomic_start, r.genomic_end, r.transcript_start, r.transcript_end) == (5001, 5090, 1, 90)
+    assert r.transcript_id == "NM_31.1" and r.gap is None
+    assert [(g.op, g.len) for g in rows[1].gap] == [("M", 40), ("D", 2), ("M", 50)]
 
 
 def test_golden_antisense(spark):
     segments = parse_alignments(spark.createDataFrame([(GFF,)], "value string"))
     df = spark.createDataFrame(
-        [("NM_001267550.2", 1, "A", "C"), ("NM_001267550.2", 212, "G", "T"), ("NM_001267550.2", 213, "N", "x"),
+        [("NM_31.1", 1, "A", "C"), ("NM_31.1", 90, "G", "T"), ("NM_31.1", 91, "N", "x"),
          ("NM_9", 5, "A", "G")], VARIANT)
     rows = {(r.nm_id, r.transcript_position): r for r in map_positions(df, segments, "NM").collect()}
-    r = rows[("NM_001267550.2", 1)]
-    assert (r.chromosome_id, r.position, r.ref, r.alt, r.sense) == ("2", 178807423, "T", "G", "-")
-    assert rows[("NM_001267550.2", 212)].position == 178807212
-    r = rows[("NM_001267550.2", 213)]
-    assert (r.chromosome_id, r.position, r.ref, r.alt, r.sense) == ("2", -1, "N", None, "-")
+    r = rows[("NM_31.1", 1)]
+    assert (r.chromosome_id, r.position, r.ref, r.alt, r.sense) == ("4", 5090, "T", "G", "-")
+    assert rows[("NM_31.1", 90)].position == 5001
+    r = rows[("NM_31.1", 91)]
+    assert (r.chromosome_id, r.position, r.ref, r.alt, r.sense) == ("4", -1, "N", None, "-")
     r = rows[("NM_9", 5)]
     assert (r.chromosome_id, r.position, r.ref, r.alt, r.sense) == (None, -1, "A", "G", None)
 
@@ -111,7 +111,7 @@ def test_random_gaps(spark, mode, limit):
 def test_several_segments_and_sequences(spark):
     segments = spark.createDataFrame(
         [
-            ("NC_2.1", "2", "-", 900, 949, "T", 1, 50, None),
+            ("NC_2.1", "4", "-", 900, 949, "T", 1, 50, None),
             ("NC_1.1", "1", "+", 500, 549, "T", 51, 100, None),
             ("NC_1.1", "1", "+", 100, 149, "T", 1, 50, None),
             ("NC_1.1", "1", "+", 700, 709, "T", 45, 54, None),

@@ -26,48 +26,48 @@ from basewise.sources import (
     read_pdist_output,
 )
 
-SHAPE = "..((((((...........)))))).....((((((((....))))))))"
+SHAPE = "((((....)))).((((((......))))))...."
 FOLD = (
-    "NM_145166.3|5038|C|A|ACGT|false\n"
+    "NM_11.1|31|C|A|ACGT|false\n"
     "AUCGUAGCUAGUCGUACAUGCUACGU\n"
-    f"{SHAPE} (-18.00)\n"
-    f"..((((((..,,...,,..)))))).....((((((((....)))))))) [-18.75]\n"
-    f"{SHAPE} {{-18.00 d=1.56}}\n"
-    f"{SHAPE} {{-18.00 MEA=47.00}}\n"
-    " frequency of mfe structure in ensemble 0.298512; ensemble diversity 2.27  \n"
+    f"{SHAPE} (-4.20)\n"
+    f"((((.,,.)))).((((((......)))))).... [-4.90]\n"
+    f"{SHAPE} {{-4.20 d=0.85}}\n"
+    f"{SHAPE} {{-4.20 MEA=22.50}}\n"
+    " frequency of mfe structure in ensemble 0.4375; ensemble diversity 1.6  \n"
 )
 
 
 def test_fold_record(spark, tmp_path):
-    (tmp_path / "fold.txt").write_text(">" + FOLD + ">" + FOLD.replace("0.298512", "1.2e-05").replace("|false", "|TRUE"))
+    (tmp_path / "fold.txt").write_text(">" + FOLD + ">" + FOLD.replace("0.4375", "1.2e-05").replace("|false", "|TRUE"))
     rows = read_fold_output(spark, str(tmp_path / "fold.txt")).orderBy("isWildType").collect()
     assert len(rows) == 2
     r = rows[0]
-    assert (r.nm_id, r.transcript_position, r.ref, r.alt, r.wildSequence) == ("NM_145166.3", 5038, "C", "A", "ACGT")
+    assert (r.nm_id, r.transcript_position, r.ref, r.alt, r.wildSequence) == ("NM_11.1", 31, "C", "A", "ACGT")
     assert r.sequence.startswith("AUCG") and r.isWildType is False
-    assert (r.mfeValue, r.efeValue, r.cfeValue, r.cdValue, r.meafeValue, r.meaValue) == (-18.0, -18.75, -18.0, 1.56, -18.0, 47.0)
-    assert (r.freqMfeEnsemble, r.endValue, r.mfeStructure, r.cfeStructure) == (0.298512, 2.27, SHAPE, SHAPE)
-    assert r.efeStructure.startswith("..((((((..,,...,,")
-    assert (rows[1].freqMfeEnsemble, rows[1].endValue, rows[1].isWildType) == (1.2e-05, 2.27, True)
+    assert (r.mfeValue, r.efeValue, r.cfeValue, r.cdValue, r.meafeValue, r.meaValue) == (-4.2, -4.90, -4.2, 0.85, -4.2, 22.5)
+    assert (r.freqMfeEnsemble, r.endValue, r.mfeStructure, r.cfeStructure) == (0.4375, 1.6, SHAPE, SHAPE)
+    assert r.efeStructure.startswith("((((.,,.))))")
+    assert (rows[1].freqMfeEnsemble, rows[1].endValue, rows[1].isWildType) == (1.2e-05, 1.6, True)
 
 
 def test_distance_record(spark, tmp_path):
     key = ["NM_1.2", "7", "C", "A", "AAC", "AAA", *[str(i + 0.5) for i in range(8)], "m", "e", "a", "c", "false",
            *[str(-i - 0.25) for i in range(8)], "wm", "we", "wa", "wc"]
     assert len(key) == 31
-    (tmp_path / "d.txt").write_text(">" + "#".join(key) + " \nf: 90  \nf: 12 \nf: 68\n")
+    (tmp_path / "d.txt").write_text(">" + "#".join(key) + " \nf: 14  \nf: 3 \nf: 9\n")
     r = read_distance_output(spark, str(tmp_path / "d.txt")).first()
-    assert (r.mfeed, r.meaed, r.cfeed) == (90, 12, 68)
+    assert (r.mfeed, r.meaed, r.cfeed) == (14, 3, 9)
     assert (r.nm_id, r.transcript_position, r.sequence, r.wildSequence) == ("NM_1.2", 7, "AAC", "AAA")
     assert (r.mfeValue, r.endValue, r.wt_mfeValue, r.wt_endValue) == (0.5, 7.5, -0.25, -7.25)
     assert (r.cfeStructure, r.wt_cfeStructure) == ("c", "wc")
 
 
 def test_pdist_record(spark, tmp_path):
-    (tmp_path / "p.txt").write_text(">NM_145166.3|5038|C|A|AC|AA\n0.64579\n>NM_2|1|G|T|GC|GA\n 3 \n")
+    (tmp_path / "p.txt").write_text(">NM_11.1|31|C|A|AC|AA\n0.125\n>NM_2|1|G|T|GC|GA\n 3 \n")
     rows = read_pdist_output(spark, str(tmp_path / "p.txt")).orderBy("nm_id").collect()
     assert [(r.nm_id, r.transcript_position, r.sequence, r.wildSequence, r.efeed) for r in rows] == [
-        ("NM_145166.3", 5038, "AC", "AA", 0.64579),
+        ("NM_11.1", 31, "AC", "AA", 0.125),
         ("NM_2", 1, "GC", "GA", 3.0),
     ]
 
@@ -75,7 +75,7 @@ def test_pdist_record(spark, tmp_path):
 def test_numbers_and_flags(spark):
     df = spark.createDataFrame([("x -1.5 .25 d=3 1e-3",)], "t string")
     assert df.select(number_list("t")).first()[0] == ["-1.5", ".25", "3", "1e-3"]
-    pairs = [(2.675, 1.005, 1.67), (-18.005, 0.0, -18.01), (0.1, 0.3, -0.2), (None, 1.0, None), (0.005, 0.004, 0.01)]
+    pairs = [(2.675, 1.005, 1.67), (-4.205, 0.0, -4.21), (0.1, 0.3, -0.2), (None, 1.0, None), (0.005, 0.004, 0.01)]
     df = spark.createDataFrame(pairs, "a double, w double, d double")
     assert [r[0] for r in df.select(rounded_difference("a", "w")).collect()] == [p[2] for p in pairs]
     df = spark.createDataFrame([(0.8,), (0.79,), (None,), (float("nan"),)], "c double")
@@ -123,7 +123,7 @@ def test_pair_distance_against_stack(spark):
 
 
 def test_wildtype_chain(spark):
-    fold = parse_fold(spark.createDataFrame([(FOLD,), (FOLD.replace("|false", "|true").replace("-18.00)", "-20.10)"),)], "value string"))
+    fold = parse_fold(spark.createDataFrame([(FOLD,), (FOLD.replace("|false", "|true").replace("-4.20)", "-6.30)"),)], "value string"))
     wide = attach_wildtype(fold.where("not isWildType"), fold.where("isWildType"))
     row = pair_distances(deltas(wide)).first()
     assert (row.deltaMFE, row.deltaEND, row.mfeed, row.meaed, row.cfeed) == (2.1, 0.0, 0, 0, 0)
@@ -131,10 +131,10 @@ def test_wildtype_chain(spark):
     assert "deltaMFE" not in cleaned.columns and "mfeed" not in cleaned.columns
     # What a distance program would read and echo.
     record = to_tool_records(wide, **DISTANCE_INPUT).first().value.split("\n")
-    assert len(record) == 7 and record[0].startswith(">NM_145166.3#5038#") and record[0].count("#") == 30
+    assert len(record) == 7 and record[0].startswith(">NM_11.1#31#") and record[0].count("#") == 30
     echoed = spark.createDataFrame([(record[0][1:] + "\nf: 1\nf: 2\nf: 3\n",)], "value string")
     row = deltas(parse_distance(echoed)).first()
-    assert (row.deltaMFE, row.mfeed, row.wt_mfeValue, row.cfeStructure) == (2.1, 1, -20.1, SHAPE)
+    assert (row.deltaMFE, row.mfeed, row.wt_mfeValue, row.cfeStructure) == (2.1, 1, -6.3, SHAPE)
 
 
 ECHO = """
@@ -158,15 +158,15 @@ def test_pipe_batches(spark):
 
 
 INFO = (
-    "ANN=C|missense_variant|MODERATE|XKR3|XKR3|transcript|NM_001318251.1|protein_coding|3/4|c.476A>G|p.Gln159Arg|582/1689|476/1380|159/459||,"
-    "C|missense_variant|MODERATE|XKR3|XKR3|transcript|NM_175878.4|protein_coding|3/4|c.476A>G|p.Gln159Arg|579/1686|476/1380|159/459||"
+    "ANN=C|missense_variant|MODERATE|GENEA|GENEA|transcript|NM_64.1|protein_coding|3/4|c.31C>T|p.Ala11Val|43/303|31/270|11/90||,"
+    "C|missense_variant|MODERATE|GENEA|GENEA|transcript|NM_88.2|protein_coding|3/4|c.31C>T|p.Ala11Val|40/300|31/270|11/90||"
 )
 
 
 def test_annotations(spark):
     rows = [
-        ("NM_175878.4", INFO),
-        ("NM_001318251.1", INFO),
+        ("NM_88.2", INFO),
+        ("NM_64.1", INFO),
         ("NM_9", INFO),
         ("NM_9", "."),
         ("a", "x|e|i|g|h|motif|a|b,x|e2|i2|g2|h2|transcript|a|bio|r|hc,x|e3|i3|g3|h3|transcript|a|bio|r|hc|hp"),
@@ -176,14 +176,14 @@ def test_annotations(spark):
     df = spark.createDataFrame(rows, "nm_id string, info string")
     got = parse_annotations(df).collect()
     first = got[0]
-    assert tuple(first)[2:9] == ("missense_variant", "MODERATE", "XKR3", "XKR3", "protein_coding", "c.476A>G", "p.Gln159Arg")
+    assert tuple(first)[2:9] == ("missense_variant", "MODERATE", "GENEA", "GENEA", "protein_coding", "c.31C>T", "p.Ala11Val")
     assert first.snpeffRaw == (
-        "C;missense_variant;MODERATE;XKR3;XKR3;transcript;NM_175878.4;protein_coding;3/4;c.476A>G;p.Gln159Arg;579/1686;476/1380;159/459"
+        "C;missense_variant;MODERATE;GENEA;GENEA;transcript;NM_88.2;protein_coding;3/4;c.31C>T;p.Ala11Val;40/300;31/270;11/90"
     )
     assert got[1].snpeffRaw.startswith("ANN=C;missense_variant")
     for r in (got[2], got[3], got[5], got[6]):
         assert tuple(r)[2:9] == (None,) * 7 and r.snpeffRaw == ""
     assert (got[4].snpeffAnnotation, got[4].snpeffHGVSc, got[4].snpeffHGVSp) == ("e2", "hc", None)
     assert got[4].snpeffRaw == "x;e;i;g;h;motif;a;b,x;e2;i2;g2;h2;transcript;a;bio;r;hc,x;e3;i3;g3;h3;transcript;a;bio;r;hc;hp"
-    line = spark.createDataFrame([("NM_175878.4", "22\t17280774\t.\tT\tC\t.\t.\t" + INFO)], "nm_id string, info string")
-    assert parse_annotations(line, vcf_line=True).first().snpeffGeneName == "XKR3"
+    line = spark.createDataFrame([("NM_88.2", "22\t40312\t.\tT\tC\t.\t.\t" + INFO)], "nm_id string, info string")
+    assert parse_annotations(line, vcf_line=True).first().snpeffGeneName == "GENEA"

@@ -17,7 +17,7 @@ def random_sequence(n, seed=0):
     return "".join(rng.choice("ACGT") for _ in range(n))
 
 
-def expected_windows(seq, width=101, short="reference"):
+def expected_windows(seq, width=101, short="all"):
     """Position -> (ref, window, index), from the rule in words."""
     n, half = len(seq), width // 2
     last = n if short == "all" or n > width else min(n, half + 1)
@@ -61,20 +61,24 @@ def test_variants_rows(spark):
     ]
     rows = out.collect()
     positions = {(i, r[0]): r for i, seq in data for r in expected_windows(seq)}
-    assert len(rows) == 4 * len(positions)
+    unusual = sum(r[1] not in "ACGT" for r in positions.values())
+    assert len(rows) == 4 * len(positions) + unusual
     for r in rows:
         _, ref, window, index = positions[(r.nm_id, r.transcript_position)]
         assert r.ref == ref and r.wildSequence == window
         assert r.isWildType == (r.alt == ref)
         assert r.sequence == window[:index] + r.alt + window[index + 1 :]
     alts, wild = split_wildtype(out)
-    assert wild.count() * 3 == alts.count()
+    assert wild.count() * 3 + unusual == alts.count()
 
 
-def test_unusual_bases_take_first_three(spark):
+@pytest.mark.parametrize(("unknown", "alts"), [("all", ["A", "C", "G", "T"]), ("reference", ["A", "C", "G"])])
+def test_unusual_bases(spark, unknown, alts):
     df = spark.createDataFrame([("x", "Na")], "nm_id string, sequence string")
-    rows = variants(df).where("not isWildType").groupBy("ref").agg(F.sort_array(F.collect_list("alt")).alias("alts"))
-    assert {r["ref"]: r["alts"] for r in rows.collect()} == {"N": ["A", "C", "G"], "a": ["A", "C", "G"]}
+    made = alternates(windows(df), unknown=unknown)
+    rows = made.where("not isWildType").groupBy("ref").agg(F.sort_array(F.collect_list("alt")).alias("alts"))
+    assert {r["ref"]: r["alts"] for r in rows.collect()} == {"N": alts, "a": alts}
+    assert [(r["alt"], r["sequence"]) for r in made.where("isWildType").orderBy("alt").collect()] == [("N", "Na"), ("a", "Na")]
 
 
 def test_alternates_without_wildtype(spark):
