@@ -11,9 +11,9 @@ log probabilities of the characters that its shard predicts; so the memory of a
 step is bounded whatever the corpus, and the model grows with it, unpruned.
 
 A text is rejected if the counts fail (``base_failed``) or its perplexity lies
-outside its language's band, which is as wide as the spread of all texts of that
-language that pass the counts asks for: median and median deviation of the mean
-log probability.
+outside its language's band, which is as wide on either side as the spread of all
+texts of that language that pass the counts asks for: median and median deviation
+of the mean log probability.
 
 Null and empty texts have no words and fail. A language none of whose
 texts passes has no band. Repeated
@@ -40,9 +40,9 @@ MASKS = [np.uint64((1 << (16 * n)) - 1) for n in range(ORDER + 1)]
 # 12 bytes each at most for an n-gram, so about 64 MB for a shard.
 SHARD_NGRAMS = 4_000_000
 # A band's width on either side: deviations from the median, and the least width in nats per
-# character. Texts of two languages stand about 0.75 above, shouted or repeated ones 0.35 below.
+# character, for languages of a few texts, or of copies, that have next to no spread.
 DEVIATIONS = 8.0
-LEAST_BELOW, LEAST_ABOVE = 0.3, 0.9
+LEAST_WIDTH = 0.05
 # Distinct n-grams that a task holds before it sends them.
 HELD_NGRAMS = 1_000_000
 WHITE = " \t\n\x0b\x0c\r"
@@ -383,8 +383,8 @@ def bands(found: DataFrame, lang: str) -> DataFrame:
     away = F.abs(F.col("_log_ppl") - F.col("_middle"))
     # One row per language; its broadcast is left to Spark's own size check.
     spread = usable.join(middle, "_lang").groupBy("_lang", "_middle").agg(F.percentile_approx(away, 0.5, 10_000).alias("_away"))
-    below, above = (F.greatest(F.col("_away") * DEVIATIONS, F.lit(w)) for w in (LEAST_BELOW, LEAST_ABOVE))
-    return spread.select("_lang", (F.col("_middle") - below).alias("_lower"), (F.col("_middle") + above).alias("_upper"))
+    width = F.greatest(F.col("_away") * DEVIATIONS, F.lit(LEAST_WIDTH))
+    return spread.select("_lang", (F.col("_middle") - width).alias("_lower"), (F.col("_middle") + width).alias("_upper"))
 
 
 def judge(docs: DataFrame, text: str = "text", lang: str = "lang", keep_text: bool = True) -> DataFrame:

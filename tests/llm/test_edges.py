@@ -280,6 +280,24 @@ def test_quality(spark, docs, nothing):
     assert ngram.judge(nothing).count() == 0 and ngram.judge(docs, keep_text=False).count() == len(ROWS)
 
 
+def test_quality_bands_follow_each_language(spark):
+    import random
+
+    draw = random.Random(10)
+    rows = []
+    for lang in ("aa", "bb"):
+        words = ["".join(draw.choice("abcdefgh") for _ in range(draw.randrange(2, 8))) for _ in range(150)]
+        for i in range(80):
+            joint = "| " if i in (7, 8) else " "
+            rows.append((i, joint.join(draw.choice(words) for _ in range(200)), lang))
+    got = ngram.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
+    assert not any(r["_base_failed"] for r in got)
+    assert {(r["lang"], r["doc_id"]) for r in got if not r["_kept"]} == {(lang, i) for lang in ("aa", "bb") for i in (7, 8)}
+    found = spark.createDataFrame([("x", 1.5 + i / 1000, False) for i in range(-40, 41)], "lang string, _log_ppl double, _base_failed boolean")
+    (band,) = ngram.bands(found, "lang").collect()
+    assert (band["_lower"], band["_upper"]) == (pytest.approx(1.34), pytest.approx(1.66))
+
+
 def test_model_sums_to_one_and_shards_agree(spark, docs):
     table = docs.select("text", F.lit("x").alias("lang"))
     whole = {r["text"]: r["_log_ppl"] for r in ngram.scored(table, ngram.train(table, "text", "lang"), "text", "lang").collect()}
