@@ -1,13 +1,15 @@
 """License notices in texts: phrases, and an exact containment join with notice templates.
 
-A block is one line of a text, a set of distinct words; a block matches a template
-when it holds at least ``threshold`` of the template's distinct words. Tokens are
+A block is a set of distinct words: one line of a text or, since notices are wrapped,
+a run of words across line ends, sized by the template that it is compared with. A
+block matches a template when it holds at least ``threshold`` of the template's
+distinct words. Tokens are
 ordered by how many blocks of all texts hold them, rarest first. A block that
 matches must hold one of the rarest tokens of the template (prefix), have words
 enough (length), and its rarest common token must stand early enough in the
 template (position); what passes is counted exactly. Everything is column
-functions: the texts are read once, a block is reduced to the words that any
-template has, kept in the shared folder, counted, and joined with the table of
+functions: the texts are read once for lines and once for runs, a block is reduced
+to the words that any template has, kept in the shared folder, counted, and joined with the table of
 prefix tokens, whose size the templates fix.
 
 Null texts count as empty and hold nothing, repeated rows get equal results, null
@@ -132,6 +134,52 @@ def blocks(docs: DataFrame, phrases: Mapping[str, str], vocabulary: Sequence[str
     return found.select("key", "row", "n_words", "n_base", "first_word", "last_word", "base", "at", (count_gaps(F.col("line")) + 1).alias("size"), tokens.alias("tokens")).where((F.size("tokens") > 0) | (F.col("at") == 0))
 
 
+def span_of(text: str, threshold: float) -> int:
+    """Words in which a template's notice stands whole, with as many words between as the threshold allows to be missing."""
+    return ceil(len(text.split()) / threshold - 1e-9)
+
+
+def place_of(span: int, least: int) -> Callable[[Column], Column]:
+    """From the number of a run to its place, its span and the fewest words that a match needs."""
+    return lambda i: F.struct((i * span).alias("start"), F.lit(span).alias("span"), F.lit(least).alias("least"))
+
+
+def windows(docs: DataFrame, templates: Sequence[tuple[str, str]], threshold: float, vocabulary: Sequence[str]) -> DataFrame:
+    """Runs of words across line ends in texts of several lines: ``row``, ``span``, ``size`` and ``tokens``.
+
+    Runs of twice ``span`` words begin every ``span`` words, so that any ``span``
+    words in a row stand in one of them. A text that matches a template must hold
+    one of its k - need + 1 longest words; others are not cut up for its span.
+    """
+    row = F.xxhash64(F.col("key"), F.col("text"), F.length("text"))
+    several = docs.where(F.contains("text", F.lit("\n"))).select(row.alias("row"), lines_of(F.col("text")).alias("lines"))
+    whole = several.select("row", F.array_join(F.filter("lines", lambda w: w != ""), GAP).alias("whole"))
+    by_span: dict[int, tuple[set[str], list[int]]] = {}
+    for _, text in templates:
+        words = sorted(set(text.split()), key=lambda w: (-len(w), w))
+        need = ceil(threshold * len(words) - 1e-9)
+        longest, needs = by_span.setdefault(span_of(text, threshold), (set(), []))
+        longest.update(words[: len(words) - need + 1])
+        needs.append(need)
+    n = count_gaps(F.col("whole")) + 1
+    starts = []
+    for span, (longest, needs) in sorted(by_span.items()):
+        likely = F.lit(False)
+        for word in sorted(longest):
+            likely = likely | F.contains("whole", F.lit(word))
+        last = F.greatest(F.ceil(n / span) - 2, F.lit(0)).cast("int")
+        none = F.array().cast("array<struct<start: int, span: int, least: int>>")
+        starts.append(F.when(likely, F.transform(F.sequence(F.lit(0), last), place_of(span, min(needs)))).otherwise(none))
+    placed = whole.select("row", "whole", F.concat(*starts).alias("starts")).where(F.size("starts") > 0)
+    # Only places are multiplied; the words of a run are cut out behind that.
+    each = placed.select("row", F.split("whole", GAP).alias("words"), "starts").select("row", "words", F.explode("starts").alias("run"))
+    words = F.slice("words", F.col("run.start") + 1, F.col("run.span") * 2)
+    cut = each.select("row", "run.span", "run.least", words.alias("words"))
+    tokens = F.array_distinct(F.filter("words", lambda w: w.isin(list(vocabulary))))
+    found = cut.select("row", "span", "least", F.size("words").cast("double").alias("size"), tokens.alias("tokens"))
+    return found.where(F.size("tokens") >= F.col("least")).drop("least")
+
+
 def vocabulary_of(templates: Sequence[tuple[str, str]]) -> list[str]:
     """The distinct words of all templates; their number is bounded, since lists of them go to every task."""
     if sum(len(text.split()) for _, text in templates) > MOST_TEMPLATE_WORDS:
@@ -140,18 +188,22 @@ def vocabulary_of(templates: Sequence[tuple[str, str]]) -> list[str]:
 
 
 def containment_join(found: DataFrame, templates: Sequence[tuple[str, str]], threshold: float) -> DataFrame:
-    """``row``, ``label`` and ``containment`` for every block (``row``, ``size``, ``tokens``) and template that match."""
+    """``row``, ``label`` and ``containment`` for every block (``row``, ``span``, ``size``, ``tokens``) and template that match.
+
+    A block whose ``span`` is 0 is compared with all templates, others with those of their span.
+    """
     spark = found.sparkSession
     sets = [(i, label, sorted(set(text.split()))) for i, (label, text) in enumerate(templates)]
     # Blocks that hold each token, over all texts; one row per word of the vocabulary.
     frequency = found.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
-    listed = spark.createDataFrame([(i, label, w, len(words), ceil(threshold * len(words) - 1e-9)) for i, label, words in sets for w in words], "template int, label string, token string, k int, need int")
+    spans = [span_of(text, threshold) for _, text in templates]
+    listed = spark.createDataFrame([(i, label, w, len(words), ceil(threshold * len(words) - 1e-9), spans[i]) for i, label, words in sets for w in words], "template int, label string, token string, k int, need int, own_span int")
     by_rank = Window.partitionBy("template").orderBy("n", "token")
     ranked = listed.join(F.broadcast(frequency), "token", "left").na.fill(0, ["n"]).withColumn("at", F.row_number().over(by_rank) - 1)
     ordered = ranked.withColumn("all_tokens", F.sort_array(F.collect_list(F.struct("at", "token")).over(Window.partitionBy("template"))).getField("token"))
     # Prefix: of the k tokens the rarest k - need + 1.
-    prefix = ordered.where(F.col("at") <= F.col("k") - F.col("need")).select("template", "label", "token", "k", "need", "at", "all_tokens")
-    pairs = found.withColumn("token", F.explode("tokens")).join(F.broadcast(prefix), "token")
+    prefix = ordered.where(F.col("at") <= F.col("k") - F.col("need")).select("template", "label", "token", "k", "need", "at", "all_tokens", "own_span")
+    pairs = found.withColumn("token", F.explode("tokens")).join(F.broadcast(prefix), "token").where((F.col("span") == 0) | (F.col("span") == F.col("own_span")))
     # Length, position, and only the rarest common token makes a candidate.
     earlier = F.slice("all_tokens", F.lit(1), F.col("at"))
     candidates = pairs.where((F.col("size") >= F.col("need")) & (F.col("k") - F.col("at") >= F.col("need")) & ~F.arrays_overlap(earlier, F.col("tokens")))
@@ -172,8 +224,11 @@ def scan(
     ``score`` is the best containment of a template in a block, 1 where a phrase stands.
     """
     narrow = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    found = settle(blocks(narrow, phrases, vocabulary_of(templates)))
-    matched = containment_join(found.select("row", "size", "tokens"), templates, threshold)
+    vocabulary = vocabulary_of(templates)
+    found = settle(blocks(narrow, phrases, vocabulary))
+    runs = settle(windows(narrow, templates, threshold, vocabulary))
+    every_block = found.select("row", F.lit(0).alias("span"), "size", "tokens").unionByName(runs)
+    matched = containment_join(every_block, templates, threshold)
     best = matched.groupBy("row").agg(F.collect_set("label").alias("found"), F.max("containment").alias("containment"))
     joined = found.where(F.col("at") == 0).join(best, "row", "left")
     every = F.array_union("base", F.coalesce("found", F.array().cast("array<string>")))

@@ -210,6 +210,28 @@ def test_licenses(docs, nothing):
     assert licenses.scan(nothing).count() == 0
 
 
+def test_licenses_wrapped_over_lines(spark):
+    import textwrap
+
+    mit = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software"
+    bsd = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"
+    rows, want = [], {}
+    for label, notice in (("mit", mit), ("bsd", bsd)):
+        for width in (5, 20, 50, 78):
+            for lead in ("", "# ", " * "):
+                for before in (0, 7, 200):
+                    i = len(rows)
+                    wrapped = "\n".join(lead + x for x in textwrap.wrap(notice, width, break_long_words=False))
+                    rows.append((i, "int x\n" * before + wrapped + "\n\nint main" * 30))
+                    want[i] = label
+    # The same words far apart, one a line, are no notice.
+    rows.append((len(rows), ("\n" + "x y z " * 30 + "\n").join(mit.split())))
+    want[len(rows) - 1] = ""
+    got = licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["labels"] for r in got} == want
+    assert all((r["score"] >= 0.8) == bool(want[r["doc_id"]]) for r in got)
+
+
 def test_leaks(spark, docs, nothing, sf_dir):
     items = spark.read.parquet(sf_dir + "/benchmark.parquet")
     got = leaks.mark_leaks(docs, items).collect()
