@@ -82,7 +82,8 @@ def test_broadcast_is_decided_by_size(spark):
     def hinted(df):
         return "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
 
-    assert hinted(broadcast_if_small(small)) and not hinted(broadcast_if_small(small, limit=20_000))
+    assert hinted(broadcast_if_small(small, limit=10_000_000)) and not hinted(broadcast_if_small(small, limit=20_000))
+    assert not hinted(broadcast_if_small(small))
     assert not hinted(broadcast_if_small(small, limit=0))
     assert hinted(broadcast_if_small(small, limit=200_000, bound=lambda: (10, 1_000_000)))
     assert not hinted(broadcast_if_small(small, limit=200_000, bound=lambda: (10, 10_000_000)))
