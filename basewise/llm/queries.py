@@ -9,7 +9,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basewise.llm import chat, common, jaccard, langkernel, leaks, licenses, maintext, ngram, pieces, shingles, toxicity, warc
+from basewise.llm import chat, common, fmindex, jaccard, langkernel, leaks, licenses, maintext, ngram, pieces, shingles, spelling, toxicity, warc
 from basewise.llm.common import table
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -108,6 +108,11 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents, their near words and the forms that they vary."""
+    return spelling.group_variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat": op1_chat,
     "op2_main_text": op2_main_text,
@@ -119,6 +124,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_leaks": op8_leaks,
     "op9_language": op9_language,
     "op10_quality": op10_quality,
+    "op11_spelling": op11_spelling,
 }
 
 SQL_CAPTURES = """
@@ -193,11 +199,50 @@ FROM w LEFT JOIN b USING (r) LEFT JOIN best USING (r)
 """
 
 
-ORACLES: dict[str, str] = {"op7_licenses": sql_licenses(), "op1_chat": SQL_CHAT, "op6_captures": SQL_CAPTURES}
+def sql_crc32(text: str) -> str:
+    """The unsigned checksum of a text's UTF-8 bytes; the single row of ``crc_table`` must be joined."""
+    byte = f"('0x' || substr(hex(encode({text})), 2 * i + 1, 2))::BIGINT"
+    values = f"list_transform(range(strlen({text})), lambda i: {byte})"
+    step = "lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1])"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {values}), {step}), 4294967295)"
+
+
+# The table of the reflected polynomial, by rule: eight halving steps a byte.
+SQL_CRC_TABLE = """crc_table AS (
+  SELECT list_transform(range(256), lambda b: list_reduce(list_prepend(b, range(8)),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS crc)"""
+
+SQL_SPELLING = f"""
+WITH RECURSIVE {SQL_CRC_TABLE},
+runs AS (
+  SELECT doc_id, run, count(*) AS k FROM (
+    SELECT doc_id, unnest(regexp_extract_all(translate(text, '{licenses.UPPER}', '{licenses.LOWER}'), '[A-Za-zÀ-ÿ]+')) AS run FROM documents)
+  WHERE length(run) >= 7 GROUP BY ALL),
+marked AS (SELECT run, k, {sql_crc32("(coalesce(doc_id::VARCHAR, '') || ':' || run)")} AS h FROM runs, crc_table),
+words AS (
+  SELECT word, sum(k)::BIGINT AS n FROM (
+    SELECT k, CASE WHEN h % 31 = 0 THEN left(run, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word FROM marked)
+  WHERE length(word) >= 7 GROUP BY word HAVING sum(k) >= 2),
+shorter AS (SELECT word, n, i, left(word, i - 1) || substr(word, i + 1) AS less FROM words, unnest(range(1, length(word) + 1)) AS u(i)),
+pairs AS (
+  SELECT a.word, a.n, b.word AS near, b.n AS m FROM shorter a JOIN shorter b ON a.less = b.less AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, a.n, b.word, b.n FROM shorter a JOIN words b ON a.less = b.word
+  UNION SELECT b.word, b.n, a.word, a.n FROM shorter a JOIN words b ON a.less = b.word),
+best AS (SELECT word, count(*) AS n_near, max(m) AS m, arg_min(near, (-m, near)) AS near FROM pairs GROUP BY word),
+out AS (
+  SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 10 * n THEN near END AS form, CASE WHEN m >= 10 * n THEN m END AS form_n
+  FROM words LEFT JOIN best USING (word)),
+walk AS (
+  SELECT word, word AS root, form AS onward FROM out
+  UNION ALL SELECT walk.word, walk.onward, out.form FROM walk JOIN out ON out.word = walk.onward)
+SELECT out.word, form, root, n, n_near, form_n FROM out JOIN walk ON walk.word = out.word AND walk.onward IS NULL
+"""
+
+ORACLES: dict[str, str] = {"op7_licenses": sql_licenses(), "op1_chat": SQL_CHAT, "op6_captures": SQL_CAPTURES, "op11_spelling": SQL_SPELLING}
 
 # Modules with code for Python workers; they travel with the plan, so that a
 # session which was started elsewhere needs no package on its executors.
-WORKERS = (chat, common, jaccard, langkernel, leaks, maintext, ngram, pieces, shingles, toxicity, warc)
+WORKERS = (chat, common, fmindex, jaccard, langkernel, leaks, maintext, ngram, pieces, shingles, spelling, toxicity, warc)
 
 
 def ship_workers() -> None:
