@@ -9,10 +9,11 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basewise.llm import chat, common, fmindex, jaccard, langkernel, leaks, licenses, maintext, ngram, pieces, shingles, spelling, toxicity, warc
+from basewise.llm import chat, common, fmindex, jaccard, langkernel, leaks, licenses, maintext, ngram, nnls, packing, pieces, resample, shingles, spelling, toxicity, warc
 from basewise.llm.common import table
 
 PIECE_MODEL = "piece_bpe_32k.model"
+BYTE_MODEL = "byte_bpe_50k.json"
 
 
 def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -113,6 +114,16 @@ def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.group_variants(table(spark, sf_dir, "documents"))
 
 
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 2048 tokens, one row per piece."""
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_MODEL))
+
+
+def op13_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents weighed towards the benchmark texts, and the draw."""
+    return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat": op1_chat,
     "op2_main_text": op2_main_text,
@@ -125,6 +136,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_language": op9_language,
     "op10_quality": op10_quality,
     "op11_spelling": op11_spelling,
+    "op12_packing": op12_packing,
+    "op13_resample": op13_resample,
 }
 
 SQL_CAPTURES = """
@@ -238,11 +251,45 @@ walk AS (
 SELECT out.word, form, root, n, n_near, form_n FROM out JOIN walk ON walk.word = out.word AND walk.onward IS NULL
 """
 
-ORACLES: dict[str, str] = {"op7_licenses": sql_licenses(), "op1_chat": SQL_CHAT, "op6_captures": SQL_CAPTURES, "op11_spelling": SQL_SPELLING}
+def sql_features(name: str) -> str:
+    """All features of a table's texts as lists, one row per text."""
+    lower = f"translate(coalesce(text, ''), '{licenses.UPPER}', '{licenses.LOWER}')"
+    return f"""SELECT *, w || list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])
+    || list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) AS features
+  FROM (SELECT *, regexp_extract_all({lower}, {SQL_WORD}) AS w FROM {name})"""
+
+
+SQL_WORD = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+
+SQL_RESAMPLE = f"""
+WITH {SQL_CRC_TABLE},
+docs AS MATERIALIZED ({sql_features("documents")}),
+used AS MATERIALIZED (SELECT doc_id, feature, count(*) AS k FROM (SELECT doc_id, unnest(features) AS feature FROM docs) GROUP BY ALL),
+wanted AS MATERIALIZED (SELECT unnest(features) AS feature FROM ({sql_features("benchmark")})),
+numbered AS MATERIALIZED (
+  SELECT feature, {sql_crc32("feature")} % 10000 AS bucket
+  FROM (SELECT feature FROM used UNION SELECT feature FROM wanted), crc_table),
+s AS (SELECT bucket, sum(k) AS s FROM used JOIN numbered USING (feature) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS t FROM wanted JOIN numbered USING (feature) GROUP BY bucket),
+both_totals AS (SELECT (SELECT coalesce(sum(s), 0) FROM s)::DOUBLE AS all_s, (SELECT coalesce(sum(t), 0) FROM t)::DOUBLE AS all_t),
+gains AS (
+  SELECT bucket, floor(1000 * ln((coalesce(t, 0) + 1.0::DOUBLE) * (all_s + 10000) / ((coalesce(s, 0) + 1.0::DOUBLE) * (all_t + 10000))))::BIGINT AS gain
+  FROM s FULL JOIN t USING (bucket), both_totals),
+weights AS (SELECT doc_id, sum(k * gain)::BIGINT AS weight FROM used JOIN numbered USING (feature) JOIN gains USING (bucket) GROUP BY doc_id),
+scored AS (
+  SELECT doc_id, len(w) AS n_words, len(features) AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || left(sha256('42:' || doc_id), 8))::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+  FROM docs LEFT JOIN weights USING (doc_id)),
+ranked AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS n FROM scored WHERE n_words >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= 5 * n // 100 THEN place END AS rank
+FROM scored LEFT JOIN ranked USING (doc_id)
+"""
+
+ORACLES: dict[str, str] = {"op7_licenses": sql_licenses(), "op1_chat": SQL_CHAT, "op6_captures": SQL_CAPTURES, "op11_spelling": SQL_SPELLING, "op13_resample": SQL_RESAMPLE}
 
 # Modules with code for Python workers; they travel with the plan, so that a
 # session which was started elsewhere needs no package on its executors.
-WORKERS = (chat, common, fmindex, jaccard, langkernel, leaks, maintext, ngram, pieces, shingles, spelling, toxicity, warc)
+WORKERS = (chat, common, fmindex, jaccard, langkernel, leaks, maintext, ngram, nnls, packing, pieces, resample, shingles, spelling, toxicity, warc)
 
 
 def ship_workers() -> None:
