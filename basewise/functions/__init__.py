@@ -1,4 +1,4 @@
-"""Column expressions: everything here takes and returns ``Column`` and runs inside the JVM."""
+"""Column expressions; all but the two structure distances, which run in Arrow batches, stay inside the JVM."""
 
 from basewise.functions.aggregates import joined_set, joined_values, signed_extreme
 from basewise.functions.bases import (
@@ -14,6 +14,7 @@ from basewise.functions.bases import (
 from basewise.functions.numbers import number_list, rounded_difference, threshold_flag
 from basewise.functions.structures import pair_distance
 from basewise.functions.text import strip_control, trimmed_split
+from basewise.functions.trees import tree_distance
 
 __all__ = [
     "chrom_to_code",
@@ -31,6 +32,7 @@ __all__ = [
     "signed_extreme",
     "strip_control",
     "threshold_flag",
+    "tree_distance",
     "trimmed_split",
     "with_chr_prefix",
 ]

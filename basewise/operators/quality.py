@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
+from basewise.operators.settle import settle
+
 
 def key_histogram(df: DataFrame, keys: Sequence[str], count: str = "count") -> DataFrame:
     """Rows per key, most frequent first (ties by key)."""
@@ -54,7 +56,51 @@ def sample_rows(df: DataFrame, k: int, seed: int, keys: Sequence[str]) -> DataFr
     return df.orderBy(ticket, *keys).limit(k)
 
 
-def with_row_metrics(df: DataFrame, name: str = "rows") -> tuple[DataFrame, Observation]:
-    """Count rows while they pass; ``observation.get[name]`` is set after the first action."""
+def with_row_metrics(df: DataFrame, name: str = "rows", **metrics: Column) -> tuple[DataFrame, Observation]:
+    """Count rows (and observe further aggregates) while they pass; ``observation.get[name]`` is set after the first action."""
     observation = Observation(name)
-    return df.observe(observation, F.count(F.lit(1)).alias(name)), observation
+    return df.observe(observation, F.count(F.lit(1)).alias(name), *[m.alias(n) for n, m in metrics.items()]), observation
+
+
+class Progress:
+    """Numbers observed at several places of one plan, delivered together with its result.
+
+    ``at`` marks a place in a plan; ``deliver`` computes the plan once, into the
+    shared folder, and gives the stored rows and a table ``place, metric, value``.
+    Spark adds a stage's numbers again when it repeats a lost map stage. The rows that
+    arrived are therefore counted from what was stored, and if they differ from the
+    rows observed last, or ``recount`` is set, every place is counted by a query of its
+    own instead; ``exact`` in the table tells which numbers are certain.
+    """
+
+    def __init__(self) -> None:
+        self.places: dict[str, tuple[Observation, DataFrame, dict[str, Column]]] = {}
+
+    def at(self, df: DataFrame, place: str, **metrics: Column) -> DataFrame:
+        """``df``, counted under the name ``place`` while it is computed; further numeric aggregates by name."""
+        if place in self.places:
+            raise ValueError(f"two places are named {place}")
+        observed, observation = with_row_metrics(df, place, **metrics)
+        self.places[place] = (observation, df, metrics)
+        return observed
+
+    def deliver(self, df: DataFrame, recount: bool = False) -> tuple[DataFrame, DataFrame]:
+        """The result, computed and stored, and the numbers of all places; rows that arrived are the place ``result``."""
+        spark = df.sparkSession
+        stored = settle(self.at(df, "result"))
+        arrived = stored.count()
+        if self.places["result"][0].get["result"] != arrived:
+            recount = True
+        rows = []
+        for place, (observation, plan, metrics) in self.places.items():
+            if place == "result":
+                rows.append((place, "rows", float(arrived), True))
+                continue
+            if recount:
+                counted = plan.agg(F.count(F.lit(1)).alias(place), *[m.alias(n) for n, m in metrics.items()]).first().asDict()
+            else:
+                counted = observation.get
+            for name in (place, *metrics):
+                value = counted[name]
+                rows.append((place, "rows" if name == place else name, None if value is None else float(value), recount))
+        return stored, spark.createDataFrame(rows, "place string, metric string, value double, exact boolean")

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from basewise.functions.aggregates import joined_values, signed_extreme
+from basewise.functions.aggregates import joined_set, signed_extreme
 from basewise.functions.bases import merge_key
 from basewise.operators.enrich import GENOMIC_KEY
 
@@ -41,9 +41,6 @@ ROLLUP_SPEC = {
     "Biotype": ("set", "snpeffTranscriptBiotype"),
 }
 
-SETS = "_sets"
-
-
 def rollup(
     df: DataFrame,
     keys: Sequence[str] = GENOMIC_KEY,
@@ -58,30 +55,20 @@ def rollup(
     ``keys`` (several columns merged by ``:``, then as a set). ``passed=None``
     rolls up all rows.
 
-    Scores are fixed-size max/min buffers. All sets share one buffer of distinct
-    combinations, taken apart after the aggregate: one object per group instead
-    of one per column. Everything is combined on the map side, so a heavy key
-    sends one short row per input task, and each value of a set is part of the
-    output row.
+    Scores are fixed-size max/min buffers. Each set column has a buffer of its own
+    distinct values, all of which are part of the output row; combinations of columns
+    are never kept. Everything is combined on the map side, so a heavy key sends one
+    short row per input task.
     """
     keys = list(keys)
     if passed is not None:
         df = df.where(F.col(passed) == "PASS")
     fractional = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
     makers = {"any": F.min, "extreme": lambda c: signed_extreme(c, skip_nan=c in fractional)}
-    members, columns = [], []
+    columns = []
     for name, (kind, source) in spec.items():
         if kind in makers:
             columns.append(makers[kind](source).alias(name))
         else:
-            value = merge_key(*source) if kind == "keys" else F.col(source).cast("string")
-            members.append(value.alias(name))
-    if members:
-        columns.append(F.collect_set(F.struct(*members)).alias(SETS))
-    grouped = df.groupBy(*keys).agg(*columns)
-
-    def output(name: str, kind: str) -> Column:
-        return F.col(name) if kind in makers else joined_values(F.transform(SETS, lambda s: s[name])).alias(name)
-
-    outputs = [output(name, kind) for name, (kind, _) in spec.items()]
-    return grouped.select(*keys, *outputs).withColumnsRenamed(dict(key_names))
+            columns.append(joined_set(merge_key(*source) if kind == "keys" else source).alias(name))
+    return df.groupBy(*keys).agg(*columns).withColumnsRenamed(dict(key_names))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from basewise.functions.numbers import rounded_difference
 from basewise.functions.structures import pair_distance
+from basewise.functions.trees import tree_distance
 from basewise.operators.skew import salted_join
 from basewise.sources.tool_output import FOLD_SCORES, FOLD_STRUCTURES
 
@@ -65,8 +66,14 @@ def pair_distances(
 ) -> DataFrame:
     """Add base-pair distances between each alternate structure and its wildtype.
 
-    This is the size of the symmetric difference of the two base-pair sets, not
-    the tree-edit number of an external program; that number is read with
-    ``read_distance_output``.
+    This is the size of the symmetric difference of the two base-pair sets; see
+    :func:`tree_distances` for the tree-edit distance.
     """
     return df.withColumns({name: pair_distance(prefix + c, c) for name, c in pairs.items()})
+
+
+def tree_distances(
+    df: DataFrame, pairs: Mapping[str, str] = DISTANCE_SOURCES, prefix: str = WILDTYPE_PREFIX
+) -> DataFrame:
+    """Add tree-edit distances between each alternate structure and its wildtype."""
+    return df.withColumns({name: tree_distance(prefix + c, c) for name, c in pairs.items()})

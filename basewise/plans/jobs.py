@@ -1,6 +1,8 @@
 """The pipeline's steps as functions of paths.
 
-Each job is one lazy plan with one write. ``python -m basewise <job> --help``
+Each job ends in one write. Some look at their input before: frequencies, coverage
+and functional at a sample of the keys, liftover keeps its rows in the shared folder
+in between. ``python -m basewise <job> --help``
 runs them from ``spark-submit``.
 """
 
@@ -24,6 +26,7 @@ from basewise.operators.pipe import DISTANCE_INPUT, FOLD_INPUT, PDIST_INPUT, pip
 from basewise.operators.positions import map_positions
 from basewise.operators.rollup import rollup as rollup_rows
 from basewise.operators.scores import attach_wildtype, deltas, drop_stale_scores, pair_distances, split_wildtype
+from basewise.operators.settle import settle
 from basewise.operators.skew import hot_keys
 from basewise.operators.variants import variants as expand_variants
 from basewise.plans.constraint import constraint_by_transcript
@@ -121,11 +124,18 @@ def genome_chunks(spark: SparkSession, fasta: str, out: str) -> None:
     write_parquet(read_genome_chunks(spark, fasta), out)
 
 
-def liftover(spark: SparkSession, source: str, out: str, chain: str, genome: str) -> None:
-    """Move variants to another assembly; ``genome`` is a chunk table (``*.parquet``) or FASTA."""
+def liftover(spark: SparkSession, source: str, out: str, chain: str, genome: str, alleles: str = "any") -> None:
+    """Move variants to another assembly; ``genome`` is a chunk table (``*.parquet``) or FASTA.
+
+    A FASTA genome is read and cut once, into the shared folder. ``alleles`` is ``any``
+    or ``single`` for tables that hold single-base alleles only, which is quicker.
+    """
+    if alleles not in ("any", "single"):
+        raise ValueError("alleles must be 'any' or 'single'")
     stored = genome.rstrip("/").endswith(".parquet")
-    chunks = spark.read.parquet(genome) if stored else read_genome_chunks(spark, genome)
-    write_parquet(lift_positions(spark.read.parquet(source), read_chain(spark, chain), chunks), out)
+    chunks = spark.read.parquet(genome) if stored else settle(read_genome_chunks(spark, genome))
+    lifted = lift_positions(spark.read.parquet(source), read_chain(spark, chain), chunks, multi_base=alleles == "any")
+    write_parquet(lifted, out)
 
 
 def frequencies(

@@ -4,9 +4,9 @@ The tables hold no sequences, so every query first derives its input from whole
 tables with plain expressions, the same way on both engines.
 """
 
-from catalog import enrichment, mapping, notebook, scores, sequences
+from catalog import enrichment, indels, mapping, notebook, scores, sequences
 
-MODULES = (sequences, mapping, scores, enrichment, notebook)
+MODULES = (sequences, mapping, indels, scores, enrichment, notebook)
 
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 ORACLES = {name: sql for module in MODULES for name, sql in module.ORACLES.items()}

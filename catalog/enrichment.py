@@ -19,9 +19,12 @@ from basewise.operators import (
     key_histogram,
     rollup,
     sample_rows,
-    with_row_metrics,
 )
+from basewise.operators.enrich import COUNT_NAMES
+from basewise.operators.quality import Progress
 from basewise.operators.rollup import KEY_NAMES, ROLLUP_SPEC
+from basewise.operators.stored import enrich_stored, store_by_key
+from basewise.sources.checked import check_cells
 from catalog.derive import table, text
 
 SEED = 7
@@ -96,6 +99,41 @@ SELECT {_KEYS}, l_orderkey, l_linenumber, gnomad_ex, gnomad_wg, {_COUNTS}
 FROM rows LEFT JOIN ex USING ({_KEYS}) LEFT JOIN wg USING ({_KEYS})"""
 
 
+def stored_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The four joins against stored tables; a third of the rows has no position and one key that stands for that."""
+    rows = _keyed(spark, sf_dir, HG19)
+    taxed, cheap = rows.where("l_tax > 0.04"), rows.where("l_discount > 0.05")
+
+    def counts(source: DataFrame, kind: str) -> DataFrame:
+        return source.groupBy(*HG19).agg(
+            F.count(F.lit(1)).alias(f"gnomad{kind}_alt_count"),
+            F.sum(F.col("l_quantity").cast("long")).alias(f"gnomad{kind}_total_count"),
+            F.max("l_linenumber").alias(f"gnomad{kind}_homozygous_count"),
+        ).withColumnsRenamed(COUNT_NAMES)
+
+    tables = [
+        taxed.groupBy(*HG19).agg(F.max("l_discount").alias("gnomad_ex")),
+        cheap.groupBy(*HG19).agg(F.min("l_tax").alias("gnomad_wg")),
+        counts(taxed, "ex"),
+        counts(cheap, "wg"),
+    ]
+    stored = [store_by_key(t, HG19, STORED_BUCKETS) for t in tables]
+    lifted = F.col("l_linenumber") % 3 != 0
+    none = {"position_hg19": F.lit(-1)}
+    left = rows.select(
+        *[F.when(lifted, F.col(c)).otherwise(none.get(c, F.lit("None"))).alias(c) for c in HG19], "l_orderkey", "l_linenumber"
+    )
+    joined = enrich_stored(left, stored, HG19, STORED_BUCKETS, usable=F.col("position_hg19") >= 0)
+    return joined.fillna(-1, [c for c in joined.columns if c.endswith("_count")])
+
+
+STORED_BUCKETS = 16
+_NO_KEY = ", ".join(
+    f"CASE WHEN l_linenumber % 3 = 0 THEN {'-1' if c == 'position_hg19' else repr('None')} ELSE {c} END AS {c}" for c in HG19
+)
+SQL_STORED = SQL_FREQUENCIES.replace("FROM rows LEFT JOIN", f"FROM (SELECT * REPLACE ({_NO_KEY}) FROM rows) LEFT JOIN")
+
+
 def skewed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two left joins where one key holds over a third of the left rows, and a null key many more."""
     line = table(spark, sf_dir, "lineitem")
@@ -262,9 +300,56 @@ def sampled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def counted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows counted while they pass through a query."""
-    observed, _ = with_row_metrics(table(spark, sf_dir, "lineitem"))
-    return observed.groupBy("l_linenumber", "l_linestatus").agg(F.count(F.lit(1)).alias("n"))
+    """Rows and quantities at three places of one plan, observed while it is computed."""
+    progress = Progress()
+    scanned = progress.at(table(spark, sf_dir, "lineitem"), "scanned", quantity=F.sum("l_quantity"))
+    kept = progress.at(scanned.where("l_returnflag <> 'R'"), "kept", last_line=F.max("l_linenumber"))
+    grouped = kept.groupBy("l_suppkey", "l_linestatus").agg(F.count(F.lit(1)).alias("n"))
+    _, numbers = progress.deliver(grouped)
+    return numbers.select("place", "metric", "value")
+
+
+def checked_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tab-separated lines with unreadable, missing and surplus cells: typed values and what was rejected."""
+    key = F.col("p_partkey")
+    number = (
+        F.when(key % 11 == 3, F.concat(F.lit("x"), text(key))).when(key % 17 == 5, F.concat(text(key), F.lit(".5")))
+        .when(key % 19 == 7, "99999999999").otherwise(text(key))
+    )
+    price = (
+        F.when(key % 13 == 2, "1,5").when(key % 23 == 4, "NA").when(key % 29 == 6, "").when(key % 31 == 8, "1e400x")
+        .otherwise(F.concat(text(key % 1000), F.lit(".25")))
+    )
+    whole = F.concat_ws("\t", number, price, F.col("p_brand"))
+    value = F.when(key % 37 == 9, number).when(key % 41 == 10, F.concat(whole, F.lit("\ta\tb"))).otherwise(whole)
+    lines = table(spark, sf_dir, "part").select(key.alias("line"), value.alias("value"))
+    checked = check_cells(lines, ["number", "price", "brand"], {"number": "int", "price": "double", "brand": "string"})
+    each = F.transform("rejects", lambda r: F.concat_ws("|", F.coalesce(r["column"], F.lit("*")), r["value"], r["reason"]))
+    return checked.withColumns({"number": F.coalesce("number", F.lit(-1)), "rejects": F.array_join(each, ";")})
+
+
+_INTEGER, _NUMBER = r"\s*[+-]?[0-9]+\s*", r"\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*"
+SQL_CHECKED = f"""
+WITH lines AS (
+  SELECT p_partkey AS line, CASE WHEN p_partkey % 37 = 9 THEN number WHEN p_partkey % 41 = 10 THEN whole || chr(9) || 'a' || chr(9) || 'b' ELSE whole END AS value
+  FROM (SELECT *, number || chr(9) || price || chr(9) || p_brand AS whole FROM (
+    SELECT p_partkey, p_brand,
+      CASE WHEN p_partkey % 11 = 3 THEN 'x' || p_partkey WHEN p_partkey % 17 = 5 THEN p_partkey || '.5' WHEN p_partkey % 19 = 7 THEN '99999999999' ELSE p_partkey::VARCHAR END AS number,
+      CASE WHEN p_partkey % 13 = 2 THEN '1,5' WHEN p_partkey % 23 = 4 THEN 'NA' WHEN p_partkey % 29 = 6 THEN '' WHEN p_partkey % 31 = 8 THEN '1e400x' ELSE (p_partkey % 1000) || '.25' END AS price
+    FROM part))),
+cells AS (SELECT line, string_split(value, chr(9)) AS c FROM lines),
+clean AS (SELECT *, nullif(nullif(c[1], ''), 'NA') AS a, nullif(nullif(c[2], ''), 'NA') AS b FROM cells),
+typed AS (
+  SELECT *, CASE WHEN regexp_full_match(a, '{_INTEGER}') THEN try_cast(a AS INTEGER) END AS number,
+    CASE WHEN regexp_full_match(b, '{_NUMBER}') THEN try_cast(b AS DOUBLE) END AS price, nullif(nullif(c[3], ''), 'NA') AS brand FROM clean)
+SELECT line, coalesce(number, -1) AS number, price, brand,
+  array_to_string(list_filter([
+    CASE WHEN c[1] IS NULL THEN 'number|missing' WHEN a IS NOT NULL AND number IS NULL THEN 'number|' || a || '|' ||
+      CASE WHEN NOT regexp_full_match(a, '{_NUMBER}') THEN 'not a number' WHEN NOT regexp_full_match(a, '{_INTEGER}') THEN 'not an integer' ELSE 'out of range' END END,
+    CASE WHEN c[2] IS NULL THEN 'price|missing' WHEN b IS NOT NULL AND price IS NULL THEN 'price|' || b || '|not a number' END,
+    CASE WHEN c[3] IS NULL THEN 'brand|missing' END,
+    CASE WHEN len(c) > 3 THEN '*|' || array_to_string(c[4:], chr(9)) || '|extra fields' END], lambda r: r IS NOT NULL), ';') AS rejects
+FROM typed"""
 
 
 QUERIES = {
@@ -283,6 +368,8 @@ QUERIES = {
     "distinct_count": distinct_counts,
     "sample_rows": sampled,
     "row_metrics": counted,
+    "enrich_stored": stored_rows,
+    "checked_cells": checked_lines,
 }
 
 ORACLES = {
@@ -329,7 +416,14 @@ SELECT count(*) AS rows, count(DISTINCT (l_orderkey, l_linenumber)) AS distinct_
 SELECT count(*) AS rows, count(DISTINCT l_partkey) AS parts, max(l_extendedprice) AS highest,
        min(l_extendedprice) AS lowest FROM lineitem""",
     "sample_rows": f"SELECT * FROM part ORDER BY md5(p_partkey || '|{SEED}'), p_partkey LIMIT 10",
-    "row_metrics": "SELECT l_linenumber, l_linestatus, count(*) AS n FROM lineitem GROUP BY ALL",
+    "row_metrics": """
+SELECT 'scanned' AS place, 'rows' AS metric, count(*)::DOUBLE AS value FROM lineitem
+UNION ALL SELECT 'scanned', 'quantity', sum(l_quantity)::DOUBLE FROM lineitem
+UNION ALL SELECT 'kept', 'rows', count(*)::DOUBLE FROM lineitem WHERE l_returnflag <> 'R'
+UNION ALL SELECT 'kept', 'last_line', max(l_linenumber)::DOUBLE FROM lineitem WHERE l_returnflag <> 'R'
+UNION ALL SELECT 'result', 'rows', count(DISTINCT (l_suppkey, l_linestatus))::DOUBLE FROM lineitem WHERE l_returnflag <> 'R'""",
+    "enrich_stored": SQL_STORED,
+    "checked_cells": SQL_CHECKED,
 }
 
 assert set(KEY_NAMES) == set(HG19)

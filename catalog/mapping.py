@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basewise.operators import aligned_length, alternates, lift_positions, map_positions, rollup, windows
+from basewise.operators import aligned_length, alternates, lift_positions, map_positions, overlap_join, rollup, windows
 from basewise.sinks import to_vcf_lines
-from basewise.sources import parse_alignments, parse_chains
+from basewise.sources import parse_alignments, parse_chain_lines, parse_chains
 from catalog.derive import (
     SQL_SEQUENCES,
     SQL_VARIANTS,
@@ -49,7 +49,7 @@ def exon_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SQL_SEGMENTS = f"""
-segs AS (
+segs AS MATERIALIZED (
   SELECT 'NC_' || lpad(accession::VARCHAR, 6, '0') || '.12' AS sequence,
          CASE accession WHEN 23 THEN 'X' WHEN 24 THEN 'Y' ELSE accession::VARCHAR END AS chromosome,
          CASE WHEN l_orderkey % 2 = 0 THEN '+' ELSE '-' END AS sense, gs, gs + len - 1 AS ge,
@@ -86,14 +86,14 @@ def map_exons_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SQL_MAPPED = f"""
 WITH {SQL_SEGMENTS},
-chosen AS (SELECT transcript_id, min(sequence) AS sequence FROM segs GROUP BY 1),
-kept AS (SELECT DISTINCT segs.* FROM segs JOIN chosen USING (transcript_id, sequence)),
-known AS (SELECT DISTINCT transcript_id, chromosome, sense FROM kept),
-points AS (
+chosen AS MATERIALIZED (SELECT transcript_id, min(sequence) AS sequence FROM segs GROUP BY 1),
+kept AS MATERIALIZED (SELECT DISTINCT segs.* FROM segs JOIN chosen USING (transcript_id, sequence)),
+known AS MATERIALIZED (SELECT DISTINCT transcript_id, chromosome, sense FROM kept),
+points AS MATERIALIZED (
   SELECT 'NM_' || o_orderkey AS nm_id, p, substr('{LETTER}', (o_orderkey + p) % 4 + 1, 1) AS r,
          substr('{LETTER}', (o_orderkey + p + 1) % 4 + 1, 1) AS a
   FROM orders, range(1, {7 * SLOT + 11}, {STEP}) AS t(p)),
-hits AS (
+hits AS MATERIALIZED (
   SELECT nm_id, p, CASE WHEN kept.sense = '+' THEN ge - (te - p) ELSE gs + (te - p) END AS g
   FROM points JOIN kept ON kept.transcript_id = nm_id AND p BETWEEN ts AND te
   QUALIFY row_number() OVER (PARTITION BY nm_id, p ORDER BY ts, te, gs, ge) = 1),
@@ -105,6 +105,78 @@ mapped AS (
   FROM points LEFT JOIN known ON known.transcript_id = nm_id LEFT JOIN hits USING (nm_id, p))"""
 
 
+def map_every_placement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for every accession of a transcript, as for genes that lie on both sex chromosomes."""
+    return map_positions(transcript_points(spark, sf_dir), exon_segments(spark, sf_dir), prefix="NM", all_placements=True)
+
+
+SQL_EVERY_PLACEMENT = f"""
+WITH {SQL_SEGMENTS},
+known AS (
+  SELECT transcript_id, sequence, arg_min(chromosome, (ts, te, gs, sense)) AS chromosome, arg_min(sense, (ts, te, gs, sense)) AS sense
+  FROM segs GROUP BY ALL),
+points AS (
+  SELECT 'NM_' || o_orderkey AS nm_id, p, substr('{LETTER}', (o_orderkey + p) % 4 + 1, 1) AS r,
+         substr('{LETTER}', (o_orderkey + p + 1) % 4 + 1, 1) AS a
+  FROM orders, range(1, {7 * SLOT + 11}, {STEP}) AS t(p)),
+hits AS (
+  SELECT nm_id, p, sequence, CASE WHEN sense = '+' THEN ge - (te - p) ELSE gs + (te - p) END AS g
+  FROM points JOIN segs ON transcript_id = nm_id AND p BETWEEN ts AND te
+  QUALIFY row_number() OVER (PARTITION BY nm_id, p, sequence ORDER BY ts, te, gs, ge) = 1)
+SELECT nm_id, p::INTEGER AS transcript_position, CASE WHEN sense = '-' THEN translate(r, 'ACGT', 'TGCA') ELSE r END AS ref,
+       CASE WHEN sense = '-' THEN translate(a, 'ACGT', 'TGCA') ELSE a END AS alt, known.sequence AS placement,
+       chromosome AS chromosome_id, coalesce(g, -1)::INTEGER AS position, sense
+FROM points LEFT JOIN known ON known.transcript_id = nm_id LEFT JOIN hits USING (nm_id, p, sequence)"""
+
+
+def overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every overlap of the liftover's blocks with regions of 800 to three million bases."""
+    key = F.col("p_partkey")
+    start = F.floor(key / 24) * 1000 + key % 500
+    width = F.lit(800) * F.pow(F.lit(4), key % 7).cast("long")
+    regions = table(spark, sf_dir, "part").select(
+        "p_partkey", _contig(key % 24 + 1).alias("chr"), start.alias("start"), (start + width - 1).alias("end")
+    )
+    blocks = lift_blocks(spark, sf_dir).select("src_chr", "src_start", "src_end", "chain_id")
+    pairs = overlap_join(regions, blocks, {"chr": "src_chr"}, ("start", "end"), ("src_start", "src_end"))
+    shared = F.least("end", "src_end") - F.greatest("start", "src_start") + 1
+    return pairs.select("p_partkey", "chain_id", shared.alias("shared"))
+
+
+def chain_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blocks of chain files given as lines in many splits: short chains, one that holds most lines, lines without a chain."""
+    key, customer = F.col("o_orderkey"), F.col("o_custkey")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    cells = F.concat_ws("\t", text(customer % 50 + 1), text(customer % 3), text(key % 4))
+    heads = F.concat_ws(
+        " ", F.lit("chain"), text(key % 1000), F.concat(F.lit("chr"), text(key % 24 + 1)), F.lit("90000"), F.lit("+"), text(key * 10), F.lit("0"),
+        F.concat(F.lit("chr"), text(key % 7 + 1)), F.lit(str(FAR)), F.when(key % 2 == 0, "+").otherwise("-"), text(key * 20), F.lit("0"),
+        F.concat(F.lit("c"), text(key)),
+    )
+    place = [F.concat(F.lit("f"), text(key % 2)).alias("file"), F.floor(key / 50).alias("split")]
+    blocks = orders.select(*place, (key * 2 + 1).alias("at"), cells.alias("text"))
+    headers = orders.where((key % CHAIN_EVERY == 5) & (key < CHAIN_LAST)).select(*place, (key * 2).alias("at"), heads.alias("text"))
+    return parse_chain_lines(blocks.unionByName(headers))
+
+
+# A header stands in front of the line of every so many orders, up to this order.
+CHAIN_EVERY, CHAIN_LAST = 211, 5_000
+
+SQL_CHAIN_LINES = f"""
+WITH items AS (
+  SELECT o_orderkey % 2 AS file, o_orderkey AS spot, o_custkey % 50 + 1 AS size, o_custkey % 3 AS dt, o_orderkey % 4 AS dq,
+         CASE WHEN o_orderkey % {CHAIN_EVERY} = 5 AND o_orderkey < {CHAIN_LAST} THEN o_orderkey END AS head FROM orders),
+chained AS (SELECT *, max(head) OVER (PARTITION BY file ORDER BY spot) AS k FROM items),
+sums AS (
+  SELECT *, coalesce(sum(size + dt) OVER w, 0) AS t, coalesce(sum(size + dq) OVER w, 0) AS q, coalesce(sum((dt > 0)::INT) OVER w, 0) AS run
+  FROM chained WHERE k IS NOT NULL WINDOW w AS (PARTITION BY file, k ORDER BY spot ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+SELECT 'chr' || (k % 24 + 1) AS src_chr, (k * 10 + t + 1)::BIGINT AS src_start, (k * 10 + t + size)::BIGINT AS src_end,
+       'chr' || (k % 7 + 1) AS dst_chr, (k * 20 + q + 1)::BIGINT AS dst_start, CASE WHEN k % 2 = 0 THEN '+' ELSE '-' END AS dst_strand,
+       {FAR}::BIGINT AS dst_size, (k % 1000)::BIGINT AS score, 'c' || k AS chain_id,
+       max(k * 10 + t + size) OVER (PARTITION BY file, k, run)::BIGINT AS src_run_end
+FROM sums"""
+
+
 def gapped_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """GFF3 text with gap lists of two or four and five operations, both senses."""
     size, key = F.col("p_size"), F.col("p_partkey")
@@ -296,8 +368,9 @@ def lift_points(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _lifted(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     return lift_positions(
-        lift_points(spark, sf_dir), lift_blocks(spark, sf_dir), genome_chunks(spark, sf_dir), GENOME_CHUNK, **options
-    )
+        lift_points(spark, sf_dir), lift_blocks(spark, sf_dir), genome_chunks(spark, sf_dir), GENOME_CHUNK,
+        multi_base=False, **options,
+    )
 
 
 def lift_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -435,7 +508,7 @@ def end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = alternates(windows(base), wildtype=False).drop("sequence", "wildSequence", "isWildType", "p_partkey")
     scored = rows.withColumn("score", F.lit(60) - F.col("transcript_position"))
     mapped = map_positions(scored, segments, prefix="NM")
-    lifted = lift_positions(mapped, lift_blocks(spark, sf_dir), genome_chunks(spark, sf_dir), GENOME_CHUNK)
+    lifted = lift_positions(mapped, lift_blocks(spark, sf_dir), genome_chunks(spark, sf_dir), GENOME_CHUNK, multi_base=False)
     return rollup(lifted, spec=END_SPEC)
 
 
@@ -461,6 +534,9 @@ QUERIES = {
     "end_to_end": end_to_end,
     "map_positions": map_exons,
     "map_positions_shuffled": map_exons_shuffled,
+    "map_placements": map_every_placement,
+    "overlaps": overlaps,
+    "chain_lines": chain_lines,
     "alignment_parse": alignment_parse,
     "map_positions_gapped": map_gapped,
     "map_positions_cigar": map_gapped_cigar,
@@ -477,6 +553,14 @@ ORACLES = {
     "map_positions": f"{SQL_MAPPED} SELECT * FROM mapped",
     "map_positions_shuffled": f"""{SQL_MAPPED}
 SELECT chromosome_id, sense, ref, count(*) AS n, sum(position)::BIGINT AS position_sum FROM mapped GROUP BY ALL""",
+    "map_placements": SQL_EVERY_PLACEMENT,
+    "overlaps": f"""
+WITH {SQL_TARGET}, regions AS (
+  SELECT p_partkey, {_sql_contig("p_partkey % 24 + 1")} AS chr, p_partkey // 24 * 1000 + p_partkey % 500 AS s,
+         p_partkey // 24 * 1000 + p_partkey % 500 + 800 * pow(4, p_partkey % 7)::BIGINT - 1 AS e FROM part)
+SELECT p_partkey, chain_id, (least(e, se) - greatest(s, ss) + 1)::BIGINT AS shared
+FROM regions JOIN blocks ON chr = src_chr AND s <= se AND ss <= e""",
+    "chain_lines": SQL_CHAIN_LINES,
     "alignment_parse": f"""
 WITH {SQL_GAPPED_PARTS}
 SELECT 'NC_' || lpad((p_partkey % 24 + 1)::VARCHAR, 6, '0') || '.12' AS sequence,

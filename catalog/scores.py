@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basewise.functions import pair_distance
+from basewise.functions import pair_distance, tree_distance
 from basewise.operators import attach_wildtype, deltas, parse_annotations, pipe_batches, to_tool_records
 from basewise.operators.pipe import PDIST_INPUT
 from basewise.sources import parse_coverage, parse_distance, parse_fold, parse_pdist
@@ -198,6 +198,13 @@ def pair_distance_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.select("p_partkey", pair_distance("first", "second").alias("distance"))
 
 
+def tree_distance_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tree-edit distance of the same structures; SQL has no form of it."""
+    first, second = _bracket_pair()
+    pairs = _parts(spark, sf_dir).select("p_partkey", first.alias("first"), second.alias("second"))
+    return pairs.select("p_partkey", "first", "second", tree_distance("first", "second").alias("distance"))
+
+
 SQL_PAIR_DISTANCE = """
 WITH texts AS (
   SELECT p_partkey, repeat('(', a) || '...' || repeat(')', a) || helix AS s1,
@@ -290,6 +297,7 @@ QUERIES = {
     "attach_wildtype": wildtype_attached,
     "deltas": delta_rows,
     "pair_distance": pair_distance_rows,
+    "tree_distance": tree_distance_rows,
     "pipe_batches": piped,
     "parse_annotations": annotations,
 }

@@ -99,10 +99,12 @@ def test_pipeline(spark, files):
     JOBS["genome-chunks"](spark, at("g.fa"), at("chunks.parquet"))
     JOBS["liftover"](spark, at("mapped"), at("lifted"), at("c.chain"), at("chunks.parquet"))
     JOBS["liftover"](spark, at("mapped"), at("lifted_from_text"), at("c.chain"), at("g.fa"))
+    JOBS["liftover"](spark, at("mapped"), at("lifted_single"), at("c.chain"), at("g.fa"), "single")
     lifted = spark.read.parquet(at("lifted"))
     counts = {r.liftoverResult: r["count"] for r in lifted.groupBy("liftoverResult").count().collect()}
     assert counts == {"PASS": 780, "NO_TARGET": 30}
-    assert lifted.exceptAll(spark.read.parquet(at("lifted_from_text"))).count() == 0
+    for other in ("lifted_from_text", "lifted_single"):
+        assert lifted.exceptAll(spark.read.parquet(at(other))).count() == 0
     JOBS["coverage"](spark, at("lifted"), at("covered"), at("cov.txt"), "0.5")
     key = "select distinct chromosome_id_hg19 CHROMOSOME, position_hg19 POSITION, ref_hg19 REF, alt_hg19 ALT"
     lifted.createOrReplaceTempView("lifted")

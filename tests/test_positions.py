@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from basewise.operators import aligned_length, disjoint_pieces, lookup, map_positions
+from basewise.operators import aligned_length, disjoint_pieces, lookup, map_positions, overlap_join
 from basewise.sources import parse_alignments
 from pyspark.sql import functions as F
 
@@ -147,3 +147,49 @@ def test_interval_lookup_against_brute_force(spark, limit):
     df = spark.createDataFrame(points, "k string, p int")
     got = lookup(df, pieces, {"k": "key"}, "p", 64, limit).collect()
     assert sorted(map(str, (tuple(r) for r in got))) == sorted(map(str, best))
+
+
+def test_every_placement(spark):
+    """One row per accession, each with its own segments, sense and holes; unknown transcripts once."""
+    rows = [
+        ("NC_23.1", "X", "+", 101, 150, "NM_1", 1, 50, None),
+        ("NC_23.1", "X", "+", 301, 350, "NM_1", 41, 90, None),  # overlaps the first from 41 on
+        ("NC_24.1", "Y", "-", 501, 560, "NM_1", 1, 60, None),
+        ("NC_24.1", "Y", "-", 501, 560, "NM_1", 1, 60, None),
+        ("NC_5.1", "5", "-", 10, 29, "NM_2", 1, 20, ops("M10 D3 M7")),
+    ]
+    segments = spark.createDataFrame(rows, SEGMENT)
+    df = spark.createDataFrame([("NM_1", 45, "A", "C"), ("NM_1", 70, "A", "C"), ("NM_2", 3, "A", "C"), ("NM_3", 1, "A", "C")], VARIANT)
+    for limit in (None, 10_000_000):
+        got = map_positions(df, segments, bin_width=16, all_placements=True, broadcast_limit=limit)
+        found = {(r.nm_id, r.transcript_position, r.placement, r.chromosome_id, r.position, r.sense, r.ref) for r in got.collect()}
+        plain = {r.position for r in map_positions(df.where("nm_id = 'NM_2'"), segments).collect()}
+        assert got.count() == 6 and found == {
+            ("NM_1", 45, "NC_23.1", "X", 145, "+", "A"),
+            ("NM_1", 45, "NC_24.1", "Y", 516, "-", "T"),
+            ("NM_1", 70, "NC_23.1", "X", 330, "+", "A"),
+            ("NM_1", 70, "NC_24.1", "Y", -1, "-", "T"),
+            ("NM_2", 3, "NC_5.1", "5", *plain, "-", "T"),
+            ("NM_3", 1, None, None, -1, None, "A"),
+        }
+
+
+@pytest.mark.parametrize("widths", [(8,), (4, 16, 64), (16, 1024, 1 << 20)])
+def test_overlaps_once_each(spark, widths):
+    rng = random.Random(len(widths))
+
+    def spans(n):
+        out = []
+        for i in range(n):
+            start = rng.randrange(-50, 400)
+            out.append((i, rng.choice("ab"), start, start + rng.choice([0, 0, 3, 20, 200, 3000]) - rng.choice([0, 0, 0, 1])))
+        return [*out, (n, None, 1, 5), (n + 1, "a", None, 5), (n + 2, "a", 5, None)]
+
+    a, b = spans(150), spans(120)
+    left = spark.createDataFrame(a, "i int, k string, s int, e int").repartition(3)
+    right = spark.createDataFrame(b, "j int, m string, t long, f long").repartition(2)
+    got = overlap_join(left, right, {"k": "m"}, ("s", "e"), ("t", "f"), widths)
+    assert got.columns == ["i", "k", "s", "e", "j", "m", "t", "f"]
+    whole = lambda rows: [r for r in rows if None not in r and r[2] <= r[3]]
+    want = sorted((x[0], y[0]) for x in whole(a) for y in whole(b) if x[1] == y[1] and x[2] <= y[3] and y[2] <= x[3])
+    assert sorted((r.i, r.j) for r in got.collect()) == want

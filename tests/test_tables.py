@@ -7,12 +7,14 @@ from pyspark.sql import functions as F
 
 from basewise.functions import joined_set, signed_extreme
 from basewise.operators import (
+    Progress,
     argmax_rows,
     check_unique,
     coverage_flag,
     enrich,
     enrich_frequencies,
     enrich_prefixed,
+    enrich_stored,
     extreme_join,
     hot_keys,
     join_scores,
@@ -20,10 +22,12 @@ from basewise.operators import (
     rollup,
     salted_join,
     sample_rows,
+    store_by_key,
     with_row_metrics,
 )
 from basewise.operators.rollup import ROLLUP_SPEC
 from basewise.operators.sizing import broadcast_if_small
+from basewise.sources import check_cells, read_checked, rejected_cells
 
 
 def rows_of(df):
@@ -192,3 +196,86 @@ def test_hot_bin_is_split_by_adaptive_execution(spark):
     at_77 = sum(i % 2 == 0 or i % 50_000 == 77 for i in range(200_000))
     assert len(rows) == 200_000 and sum(r.hit == 0 for r in rows if r.p == 77) == at_77
     assert all(r.hit == (r.p // 100 if r.p % 100 < 80 else None) for r in rows)
+
+
+def test_stored_tables_are_not_shuffled(spark):
+    """A third of the rows goes around the joins, and no exchange stands on a table's side."""
+    left = spark.range(3000).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id") % 500).alias("k"), F.when(F.col("id") % 7 != 0, "x").alias("m"), "id")
+    tables = [spark.range(300).select(F.col("id").alias("k"), F.lit("x").alias("m"), (F.col("id") * i).alias(f"c{i}")) for i in (1, 2, 3)]
+    tables[1] = tables[1].unionByName(tables[1].where("k < 10"))
+    stored = [store_by_key(t, ["k", "m"], 8) for t in tables]
+    got = enrich_stored(left, stored, ["k", "m"], 8, usable=F.col("k") >= 0)
+    want = left
+    for t in tables:
+        want = want.join(t, ["k", "m"], "left")
+    assert got.columns == ["k", "m", "id", "c1", "c2", "c3"]
+    assert rows_of(got) == rows_of(want.select(*got.columns))
+    plan = got._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("Exchange") == 1 and plan.count("SortMergeJoin") == 3
+    assert rows_of(enrich_stored(left.limit(0), stored, ["k", "m"], 8)) == []
+
+
+def test_progress_is_delivered(spark):
+    progress = Progress()
+    rows = progress.at(spark.range(1000, numPartitions=4), "made", top=F.max("id"))
+    kept = progress.at(rows.where("id % 3 = 0"), "kept")
+    stored, numbers = progress.deliver(kept.groupBy((F.col("id") % 10).alias("g")).count())
+    assert stored.count() == 10
+    got = {(r.place, r.metric): r.value for r in numbers.collect()}
+    assert got == {("made", "rows"): 1000, ("made", "top"): 999, ("kept", "rows"): 334, ("result", "rows"): 10}
+    again = Progress()
+    _, numbers = again.deliver(again.at(spark.range(0), "none", top=F.max("id")), recount=True)
+    assert {(r.place, r.metric, r.value, r.exact) for r in numbers.collect()} == {("none", "rows", 0, True), ("none", "top", None, True), ("result", "rows", 0, True)}
+    with pytest.raises(ValueError, match="two places"):
+        again.at(spark.range(1), "none")
+
+
+def test_sets_of_many_values(spark):
+    """Six independent columns of 1,000 values in one group: no combinations are kept."""
+    columns = {f"s{i}": F.concat(F.lit(f"{i}-"), (F.xxhash64("id", F.lit(i)) % 1000).cast("string")) for i in range(6)}
+    df = spark.range(60_000).select(F.lit("g").alias("g"), *[c.alias(n) for n, c in columns.items()])
+    rolled = rollup(df, ["g"], {n: ("set", n) for n in columns}, passed=None).first()
+    for i in range(6):
+        values = rolled[f"s{i}"].split(";")
+        assert values == sorted(set(values)) and set(values) == {r[0] for r in df.select(f"s{i}").distinct().collect()}
+
+
+BAD = (
+    "gene\tn\tx\tname\n"
+    "a\t1\t0.5\tp\n"
+    "b\tx\t1e3\tq\r\n"
+    "\n"
+    "c\t1.0\tNaN\tNA\n"
+    "d\t99999999999\t-.5\t\n"
+    "e\tNA\t0x1\n"
+    "f\t 7 \t1d\tr\ts\tt\n"
+)
+
+
+@pytest.mark.parametrize("split", ["9", "134217728"])
+def test_rejected_cells(spark, tmp_path, split):
+    for name in ("one", "two"):
+        (tmp_path / f"{name}.tsv").write_text(BAD)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        checked = read_checked(spark, str(tmp_path), {"n": "int", "x": "double", "name": "string", "gene": "string"})
+        rows = checked.collect()
+        bad = rejected_cells(checked).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert checked.columns == ["file", "line", "n", "x", "name", "gene", "rejects"]
+    assert dict(checked.dtypes)["n"] == "int" and len(rows) == 12
+    got = sorted((r.line, r.gene, r.n, str(r.x), r["name"]) for r in rows if r.file.endswith("one.tsv"))
+    assert got == [
+        (2, "a", 1, "0.5", "p"), (3, "b", None, "1000.0", "q"), (5, "c", None, "nan", None),
+        (6, "d", None, "-0.5", None), (7, "e", None, "None", None), (8, "f", 7, "None", "r"),
+    ]
+    assert sorted((r.line, str(r.column), r.value, r.reason) for r in bad if r.file.endswith("two.tsv")) == [
+        (3, "n", "x", "not a number"), (5, "n", "1.0", "not an integer"), (6, "n", "99999999999", "out of range"),
+        (7, "name", None, "missing"), (7, "x", "0x1", "not a number"), (8, "None", "s\tt", "extra fields"), (8, "x", "1d", "not a number"),
+    ]
+    with pytest.raises(ValueError, match="no such types"):
+        check_cells(spark.createDataFrame([("1",)], "value string"), ["a"], {"a": "date"})
+    with pytest.raises(ValueError, match="no such fields"):
+        check_cells(spark.createDataFrame([("1",)], "value string"), ["a"], {"b": "int"})
