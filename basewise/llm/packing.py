@@ -40,14 +40,15 @@ from basewise.llm.common import runs, settle, texts_of
 from basewise.llm.warc import scratch_path
 
 WINDOW, CLOSING = 2048, 1
-# Between other characters and white space the vocabulary's rule always cuts, so such stretches are encoded on their own.
-STRETCH = re.compile(r"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+")
+# The vocabulary's rule always cuts between other characters and white space, and between a letter and a mark that
+# ends a clause, so such stretches are encoded on their own.
+STRETCH = re.compile(r"[ \t-\r]*[A-Za-zÀ-ÖØ-öø-ÿ]++(?=[,.;:!?])|[ \t-\r]*[^ \t-\r]+|[ \t-\r]+")
 # Characters that count as white space to one of the two engines only, or that are not in the class above.
 RARE = re.compile(r"[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 # Where a text with rare characters is cut: letters or digits of ASCII, then a space and a letter or digit.
 PLAIN = re.compile(r"(?<=[A-Za-z0-9]) (?=[A-Za-z0-9])")
-# Stretches that a task remembers, and their length at most.
-REMEMBERED, LONG = 200_000, 60
+# Stretches after which a task begins to forget those it has not met since, and their length at most.
+REMEMBERED, LONG = 300_000, 60
 
 CUT_SCHEMA = (
     "task int, at long, doc_id {id}, doc_tokens long, rest int, place long, windows long, windows_before long, "
@@ -64,21 +65,29 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        # What was used lately, and what was used before that.
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, as the tokenizers library gives them without added special tokens."""
         cut = [self.stretches(t) for t in texts]
-        wanted = set().union(*cut)
-        fresh = list(wanted - self.known.keys())
-        for stretch, found in zip(fresh, self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False), strict=True):
-            self.known[stretch] = array("I", found.ids).tobytes()
-        out = [b"".join(map(self.known.__getitem__, parts)) for parts in cut]
-        if len(self.known) > REMEMBERED:
-            self.known = {s: self.known[s] for s in wanted}
-        for stretch in wanted:
+        known, older = self.known, self.older
+        wanted = set().union(*cut) - known.keys()
+        fresh = list(wanted - older.keys())
+        known.update((s, older[s]) for s in wanted & older.keys())
+        if fresh:
+            # One call for all; the library says which stretch each id belongs to.
+            found = self.tokenizer.encode(fresh, is_pretokenized=True, add_special_tokens=False)
+            sizes = np.bincount(np.array(found.word_ids, dtype=np.int64), minlength=len(fresh))
+            data, ends = array("I", found.ids).tobytes(), (4 * np.cumsum(sizes)).tolist()
+            known.update((s, data[a:b]) for s, a, b in zip(fresh, [0, *ends], ends, strict=False))
+        out = [b"".join(map(known.__getitem__, parts)) for parts in cut]
+        for stretch in fresh:
             if len(stretch) > LONG:
-                self.known.pop(stretch, None)
+                del known[stretch]
+        if len(known) > REMEMBERED:
+            self.older, self.known = known, {}
         return out
 
     @staticmethod
