@@ -30,6 +30,7 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +40,6 @@ from pyspark.sql import functions as F
 from basewise.llm.common import map_batches, runs, settle, texts_of
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
-LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 BUCKETS = 10_000
 # Characters of distinct lines that a task counts before it hands them on, and words whose checksums it remembers.
 COUNTED_CHARS, REMEMBERED = 8_000_000, 300_000
@@ -62,6 +62,14 @@ def append_tables() -> np.ndarray:
     return out
 
 
+class Numbers(dict):
+    """Numbers words in the order in which they are first asked for."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = number = len(self)
+        return number
+
+
 class Checksums:
     """Checksums of n-grams of words, from states of words that are remembered."""
 
@@ -71,7 +79,7 @@ class Checksums:
 
     def forget(self) -> None:
         """Drop all words."""
-        self.numbers: dict[str, int] = {}
+        self.numbers = Numbers()
         self.alone = np.zeros(0, dtype=np.uint32)
         self.behind = np.zeros(0, dtype=np.uint32)
         self.added = np.zeros(0, dtype=np.int64)
@@ -81,10 +89,9 @@ class Checksums:
         if len(self.numbers) > REMEMBERED:
             self.forget()
         known = len(self.numbers)
-        give = self.numbers.setdefault
-        out = np.fromiter((give(w, len(self.numbers)) for w in words), dtype=np.int64, count=len(words))
+        out = np.fromiter(map(self.numbers.__getitem__, words), dtype=np.int64, count=len(words))
         if len(self.numbers) > known:
-            fresh = [w.encode() for w in list(self.numbers)[known:]]
+            fresh = [w.encode("utf-8", "surrogatepass") for w in islice(self.numbers, known, None)]
             alone = [zlib.crc32(w) ^ ONES for w in fresh]
             behind = [zlib.crc32(b" " + w, ONES) ^ ONES for w in fresh]
             self.alone = np.append(self.alone, np.array(alone, dtype=np.uint32))
@@ -124,7 +131,8 @@ class Lines:
         per_text: list[int] = []
         for text in texts:
             before = len(lines)
-            for line in text.translate(LOWER).split("\n"):
+            # The lower case of bytes touches ASCII letters only.
+            for line in text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass").split("\n"):
                 number = distinct.get(line)
                 if number is None:
                     number = distinct[line] = len(found)
