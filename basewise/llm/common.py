@@ -72,3 +72,11 @@ def map_batches(df: DataFrame, text: str, make: Callable[[], Callable], schema:
                     yield out
 
     return df.mapInArrow(work, schema)
+
+
+class Numbers(dict):
+    """Numbers words in the order in which they are first asked for."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = number = len(self)
+        return number

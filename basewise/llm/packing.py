@@ -28,6 +28,7 @@ import re
 import zlib
 from array import array
 from collections.abc import Iterable, Iterator
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -36,19 +37,19 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from basewise.llm import nnls
-from basewise.llm.common import runs, settle, texts_of
+from basewise.llm.common import Numbers, runs, settle, texts_of
 from basewise.llm.warc import scratch_path
 
 WINDOW, CLOSING = 2048, 1
 # The vocabulary's rule always cuts between other characters and white space, and between a letter and a mark that
 # ends a clause, so such stretches are encoded on their own.
-STRETCH = re.compile(r"[ \t-\r]*[A-Za-zÀ-ÖØ-öø-ÿ]++(?=[,.;:!?])|[ \t-\r]*[^ \t-\r]+|[ \t-\r]+")
+STRETCH = re.compile(r"[ \t-\r]*[A-Za-zÀ-ÖØ-öø-ÿ]++(?:(?![,.;:!?])[^ \t-\r]+)?|[ \t-\r]*[^ \t-\r]+|[ \t-\r]+")
 # Characters that count as white space to one of the two engines only, or that are not in the class above.
 RARE = re.compile(r"[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 # Where a text with rare characters is cut: letters or digits of ASCII, then a space and a letter or digit.
 PLAIN = re.compile(r"(?<=[A-Za-z0-9]) (?=[A-Za-z0-9])")
-# Stretches after which a task begins to forget those it has not met since, and their length at most.
-REMEMBERED, LONG = 300_000, 60
+# Stretches, and ids in them, after which a task forgets what it remembers; stretches encoded in one text.
+REMEMBERED, REMEMBERED_IDS, TOGETHER = 600_000, 20_000_000, 1_000
 
 CUT_SCHEMA = (
     "task int, at long, doc_id {id}, doc_tokens long, rest int, place long, windows long, windows_before long, "
@@ -65,30 +66,61 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        # What was used lately, and what was used before that.
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        # Each character of a token's name stands for one byte of text.
+        names = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.width = np.zeros(max(names.values()) + 1, dtype=np.int64)
+        for name, number in names.items():
+            self.width[number] = len(name)
+        self.forget()
+
+    def forget(self) -> None:
+        """Drop all stretches."""
+        self.numbers = Numbers()
+        self.begin = np.zeros(0, dtype=np.int64)
+        self.size = np.zeros(0, dtype=np.int64)
+        self.ids = np.zeros(0, dtype=np.uint32)
+
+    def learn(self, stretches: list[str]) -> None:
+        """Encode new stretches, in order."""
+        # Those between white space and other characters can stand one behind the other: the rule cuts between them.
+        plain = np.array([s[0] in " \t\n\v\f\r" and not s[-1].isspace() and not RARE.search(s) for s in stretches], dtype=bool)
+        sizes = np.zeros(len(stretches), dtype=np.int64)
+        ids = [np.zeros(0, dtype=np.uint32)] * 2
+        joined = [s for s, p in zip(stretches, plain, strict=True) if p]
+        if joined:
+            texts = ["".join(joined[at : at + TOGETHER]) for at in range(0, len(joined), TOGETHER)]
+            found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+            ids[0] = np.concatenate([np.array(f.ids, dtype=np.uint32) for f in found])
+            # The bytes of the ids tell where each stretch ends.
+            ends = np.searchsorted(np.cumsum(self.width[ids[0]]), np.cumsum([len(s.encode()) for s in joined])) + 1
+            sizes[plain] = np.diff(ends, prepend=0)
+        alone = [s for s, p in zip(stretches, plain, strict=True) if not p]
+        if alone:
+            found = self.tokenizer.encode(alone, is_pretokenized=True, add_special_tokens=False)
+            ids[1] = np.array(found.ids, dtype=np.uint32)
+            sizes[~plain] = np.bincount(np.array(found.word_ids, dtype=np.int64), minlength=len(alone))
+        begin = np.zeros(len(stretches), dtype=np.int64)
+        at = len(self.ids)
+        for part, chosen in zip(ids, (plain, ~plain), strict=True):
+            begin[chosen] = at + np.cumsum(sizes[chosen]) - sizes[chosen]
+            at += len(part)
+        self.begin, self.size = np.append(self.begin, begin), np.append(self.size, sizes)
+        self.ids = np.concatenate((self.ids, *ids))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, as the tokenizers library gives them without added special tokens."""
+        if len(self.numbers) > REMEMBERED or len(self.ids) > REMEMBERED_IDS:
+            self.forget()
+        known = len(self.numbers)
         cut = [self.stretches(t) for t in texts]
-        known, older = self.known, self.older
-        wanted = set().union(*cut) - known.keys()
-        fresh = list(wanted - older.keys())
-        known.update((s, older[s]) for s in wanted & older.keys())
-        if fresh:
-            # One call for all; the library says which stretch each id belongs to.
-            found = self.tokenizer.encode(fresh, is_pretokenized=True, add_special_tokens=False)
-            sizes = np.bincount(np.array(found.word_ids, dtype=np.int64), minlength=len(fresh))
-            data, ends = array("I", found.ids).tobytes(), (4 * np.cumsum(sizes)).tolist()
-            known.update((s, data[a:b]) for s, a, b in zip(fresh, [0, *ends], ends, strict=False))
-        out = [b"".join(map(known.__getitem__, parts)) for parts in cut]
-        for stretch in fresh:
-            if len(stretch) > LONG:
-                del known[stretch]
-        if len(known) > REMEMBERED:
-            self.older, self.known = known, {}
-        return out
+        used = np.fromiter(map(self.numbers.__getitem__, chain.from_iterable(cut)), dtype=np.int64)
+        if len(self.numbers) > known:
+            self.learn(list(islice(self.numbers, known, None)))
+        size = self.size[used]
+        behind = np.cumsum(size)
+        ids = self.ids[np.repeat(self.begin[used] - behind + size, size) + np.arange(size.sum())]
+        ends = np.concatenate(([0], behind))[np.cumsum([0, *map(len, cut)])].tolist()
+        return [ids[a:b].tobytes() for a, b in zip(ends, ends[1:], strict=False)]
 
     @staticmethod
     def stretches(text: str) -> list[str]:

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from basewise.llm.common import map_batches, runs, settle, texts_of
+from basewise.llm.common import Numbers, map_batches, runs, settle, texts_of
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 BUCKETS = 10_000
@@ -62,14 +62,6 @@ def append_tables() -> np.ndarray:
     return out
 
 
-class Numbers(dict):
-    """Numbers words in the order in which they are first asked for."""
-
-    def __missing__(self, word: str) -> int:
-        self[word] = number = len(self)
-        return number
-
-
 class Checksums:
     """Checksums of n-grams of words, from states of words that are remembered."""
 
