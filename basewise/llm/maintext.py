@@ -1,26 +1,31 @@
 """Main text of web pages by differencing pages of near URLs.
 
-Every page is read as text blocks (lines) with their place in the markup. Pages
-of one host are sorted by URL path and each is paired with the page before and
-the page behind it. The lines of a pair are aligned by their longest common
-subsequence, and shared lines are deleted as the site's template.
+Every page is read once as text blocks (lines) with their place in the markup, and
+kept in the shared folder. Pages of one host are sorted by URL path and each is paired
+with the page before and the page behind it; pages of one content in a row count as
+one page. The lines of a pair are aligned by their longest common subsequence, and
+shared lines are deleted as the site's template.
 
 All lines of a page take part in the alignment. Copies of an article and passages
 that several articles quote are shared lines as well, and some template lines
 differ between any two neighbours. So three rules frame the deletion: a line
 inside an ``article`` or ``main`` element is not deleted as shared; a pair that
-shares most of its text is a pair of copies and says nothing about the template;
-and a line under markup that names its role (menus, headers and footers of the
-page, sidebars, notices, adverts, forms, comments) goes whether shared or not.
+shares more than half of the larger page's text (menus and the like apart) is a pair
+of copies and says nothing about the template; and of the lines that differencing
+leaves, those under markup that names its role (menus, headers and footers of the
+page, sidebars, notices, adverts, forms, comments) go as well. :func:`deleted_lines`
+counts the lines that go either way.
+
+Only lines outside articles and without such a name can be kept or deleted by what
+neighbours share, so only pages that have some are joined with their shared lines.
 
 Null pages give empty text, null URLs form a host of their own, repeated rows are
-neighbours of each other, null ids stay, an empty table gives none. Only the
+one page for differencing, null ids stay, an empty table gives none. Only the
 named columns are read.
 """
 
 from __future__ import annotations
 
-import bisect
 import hashlib
 import re
 from collections.abc import Iterator
@@ -32,6 +37,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from basewise.llm.common import settle
+from basewise.llm.warc import scratch_path
+from basewise.operators.skew import PLACE, splittable
 
 # Element names of HTML.
 SILENT = frozenset("script style noscript template button select textarea iframe svg canvas object head title".split())
@@ -50,8 +57,8 @@ ROLE = re.compile(
     re.IGNORECASE,
 )
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
-# Cells of the largest alignment table.
-TABLE = 25_000_000
+# Cells of the largest alignment table; larger ones are halved.
+TABLE = 4_000_000
 SPACE = re.compile(r"\s+")
 
 
@@ -172,30 +179,27 @@ def shared_lines(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return places[np.concatenate((np.arange(front), inner + front, np.arange(len(a) - back, len(a)))).astype(np.int64)]
 
 
+def prefix_lengths(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Length of the longest common subsequence of ``a`` and each prefix of ``b``."""
+    row = np.zeros(len(b) + 1, dtype=np.int64)
+    for x in a:
+        row[1:] = np.maximum.accumulate(np.where(b == x, row[:-1] + 1, row[1:]))
+    return row
+
+
 def lcs_inside(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Positions in ``a`` of a longest common subsequence.
 
-    Beyond ``TABLE`` cells, of the lines that occur once in both (an increasing
-    subsequence of their places, which needs no table).
+    Where the table would be large, ``a`` is cut in half and ``b`` where the two
+    halves' lengths add up to the most, so memory grows with the lines, not with
+    their product.
     """
     if not len(a) or not len(b):
         return np.empty(0, dtype=np.int64)
-    if len(a) * len(b) > TABLE:
-        once = [np.isin(x, v[c == 1]) for x in (a, b) for v, c in [np.unique(x, return_counts=True)]]
-        where = {h: j for j, h in enumerate(b.tolist()) if once[1][j]}
-        pairs = [(i, where[h]) for i, h in enumerate(a.tolist()) if once[0][i] and h in where]
-        tails: list[int] = []
-        ends: list[int] = []
-        before = [-1] * len(pairs)
-        for k, (_, j) in enumerate(pairs):
-            at = bisect.bisect_left(tails, j)
-            before[k] = ends[at - 1] if at else -1
-            tails[at : at + 1], ends[at : at + 1] = [j], [k]
-        found, k = [], ends[-1] if ends else -1
-        while k >= 0:
-            found.append(pairs[k][0])
-            k = before[k]
-        return np.array(found[::-1], dtype=np.int64)
+    if len(a) * len(b) > TABLE and len(a) > 1:
+        half = len(a) // 2
+        cut = int(np.argmax(prefix_lengths(a[:half], b) + prefix_lengths(a[half:][::-1], b[::-1])[::-1]))
+        return np.concatenate((lcs_inside(a[:half], b[:cut]), lcs_inside(a[half:], b[cut:]) + half))
     # Rows of the usual table, filled by whole rows: best[i, j] for a[i:] and b[j:].
     best = np.zeros((len(a) + 1, len(b) + 1), dtype=np.int32)
     for i in range(len(a) - 1, -1, -1):
@@ -213,117 +217,164 @@ def lcs_inside(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.array(found, dtype=np.int64)
 
 
-def signatures(pages: DataFrame, key: str, url: str, html: str) -> DataFrame:
-    """Host, path and the hashes and sizes of all lines of each page that has any."""
+SIGNED = ("host", "path", "content", "lines", "sizes")
+
+
+def parse_pages(pages: DataFrame, key: str, url: str, html: str) -> DataFrame:
+    """Per row: id, url, host and path, the page's digest, its lines as hashes, sizes and kinds, and the texts of all but furniture."""
     host = F.lower(F.regexp_extract(F.coalesce(F.col(url), F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1))
     path = F.regexp_extract(F.coalesce(F.col(url), F.lit("")), r"^(?:[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)?([^#]*)", 1)
-    # The page's own digest names it, so that rows of one id are kept apart.
-    narrow = pages.select(host.alias("host"), path.alias("path"), F.col(key).alias("page"), F.col(html).alias("html"))
+    narrow = pages.select(F.col(key).alias("page"), F.col(url).alias("url"), host.alias("host"), path.alias("path"), F.col(html).alias("html"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kept, lines, sizes, names = [], [], [], []
-            for row, page in enumerate(batch.column(3).to_pylist()):
+            names, lines, sizes, kinds, texts = [], [], [], [], []
+            for page in batch.column(4).to_pylist():
                 found = blocks_of(page)
-                if found:
-                    kept.append(row)
-                    names.append(digest(page))
-                    lines.append(np.array([digest(t) for t, _ in found], dtype="<i8").tobytes())
-                    # Furniture counts for nothing when copies are told from neighbours.
-                    sizes.append(np.array([0 if k == FURNITURE else len(t) for t, k in found], dtype="<i4").tobytes())
-            took = batch.select([0, 1, 2]).take(pa.array(kept, pa.int32()))
-            columns = [*took.columns, pa.array(names, pa.int64()), pa.array(lines, pa.binary()), pa.array(sizes, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["host", "path", "page", "content", "lines", "sizes"])
+                names.append(digest(page or ""))
+                lines.append(np.array([digest(t) for t, _ in found], dtype="<i8").tobytes())
+                # Furniture counts for nothing when copies are told from neighbours.
+                sizes.append(np.array([0 if k == FURNITURE else len(t) for t, k in found], dtype="<i4").tobytes())
+                kinds.append("".join(k for _, k in found))
+                texts.append([t for t, k in found if k != FURNITURE])
+            columns = [*batch.columns[:4], pa.array(names, pa.int64()), pa.array(lines, pa.binary()), pa.array(sizes, pa.binary())]
+            columns += [pa.array(kinds, pa.string()), pa.array(texts, pa.list_(pa.string()))]
+            yield pa.RecordBatch.from_arrays(columns, ["page", "url", *SIGNED, "kinds", "texts"])
 
     kind = narrow.schema["page"].dataType.simpleString()
-    return narrow.mapInArrow(work, f"host string, path string, page {kind}, content long, lines binary, sizes binary")
+    return narrow.mapInArrow(
+        work, f"page {kind}, url string, host string, path string, content long, lines binary, sizes binary, kinds string, texts array<string>"
+    )
+
+
+def pair_lines(a: tuple, b: tuple) -> bytes:
+    """Hashes of the lines that two pages of one host share in order; none if they are copies."""
+    if a[0] != b[0] or a[2] == b[2]:
+        return b""
+    left, right = (np.frombuffer(x[3], dtype="<i8") for x in (a, b))
+    at = shared_lines(left, right)
+    sizes = [np.frombuffer(x[4], dtype="<i4").sum() for x in (a, b)]
+    common = np.frombuffer(a[4], dtype="<i4")[at].sum()
+    return b"" if common * 2 > max(sizes) else left[at].tobytes()
+
+
+def found_batch(found: list[tuple[str, int, bytes]]) -> pa.RecordBatch:
+    """Rows of host, content and shared lines."""
+    kinds = (pa.string(), pa.int64(), pa.binary())
+    columns = [pa.array(c, k) for c, k in zip(zip(*found, strict=True), kinds, strict=True)]
+    return pa.RecordBatch.from_arrays(columns, ["host", "content", "shared"])
 
 
 def shared_with_neighbours(signed: DataFrame) -> DataFrame:
-    """Per page the hashes of its lines that the nearest page before or behind it shares in order.
+    """Per host and page content the hashes of lines that the nearest page before or behind it shares in order.
 
-    Pages are sorted over all tasks by ranges of (host, path, page), so that a
+    Pages are sorted over all tasks by ranges of (host, path, content), so that a
     host of any size is spread; the first and last page of each range are paired
     in a second, small step.
     """
-    ordered = settle(
-        signed.repartitionByRange("host", "path", "page", "content").sortWithinPartitions("host", "path", "page", "content")
-    )
-    kind = signed.schema["page"].dataType.simpleString()
-    schema = f"page {kind}, content long, shared binary"
-
-    def pair(a: tuple, b: tuple) -> tuple[bytes, bytes]:
-        if a[0] != b[0] or a[3] == b[3]:
-            return b"", b""
-        left, right = (np.frombuffer(x[4], dtype="<i8") for x in (a, b))
-        at = shared_lines(left, right)
-        sizes = [np.frombuffer(x[5], dtype="<i4").sum() for x in (a, b)]
-        common = np.frombuffer(a[5], dtype="<i4")[at].sum()
-        # A pair of copies says nothing about the template.
-        if common * 2 > min(sizes):
-            return b"", b""
-        return left[at].tobytes(), left[at].tobytes()
-
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-        for batch in batches:
-            yield from zip(*(c.to_pylist() for c in batch.columns), strict=True)
+    order = ("host", "path", "content")
+    ordered = settle(signed.repartitionByRange(*order).sortWithinPartitions(*order))
+    schema = "host string, content long, shared binary"
+
+    def rows(batch: pa.RecordBatch) -> Iterator[tuple]:
+        yield from zip(*(c.to_pylist() for c in batch.columns), strict=True)
 
     def neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before = None
-        out: list[tuple] = []
-        page_type = None
         for batch in batches:
-            page_type = batch.schema.field(2).type
-            for row in rows([batch]):
-                if before is not None:
-                    a, b = pair(before, row)
-                    out += [(x[2], x[3], s) for x, s in ((before, a), (row, b)) if s]
+            out: list[tuple] = []
+            for row in rows(batch):
+                if before is not None and (shared := pair_lines(before, row)):
+                    out += [(x[0], x[2], shared) for x in (before, row)]
                 before = row
             if out:
-                columns = [pa.array(c, k) for c, k in zip(zip(*out, strict=True), (page_type, pa.int64(), pa.binary()), strict=True)]
-                yield pa.RecordBatch.from_arrays(columns, ["page", "content", "shared"])
-                out = []
+                yield found_batch(out)
 
     inner = ordered.mapInArrow(neighbours, schema)
     # Two rows per range at most, whatever the size of the table.
     part = F.spark_partition_id().alias("part")
     edges = ordered.withColumn("part", part).withColumn("place", F.monotonically_increasing_id())
-    ends = edges.groupBy("part").agg(*(f(F.struct("place", *signed.columns)).alias(n) for f, n in ((F.min, "first"), (F.max, "last"))))
+    ends = edges.groupBy("part").agg(*(f(F.struct("place", *SIGNED)).alias(n) for f, n in ((F.min, "first"), (F.max, "last"))))
     both = ends.select("part", F.explode(F.array("first", "last")).alias("end")).select("part", "end.*").distinct()
     followed = Window.partitionBy(F.lit(0)).orderBy("place")
-    behind = both.withColumn("behind", F.lead(F.struct("part", *signed.columns)).over(followed)).where("behind.part != part")
-    crossing = behind.select(*signed.columns, *[F.col(f"behind.{c}").alias(f"{c}_b") for c in signed.columns])
+    behind = both.withColumn("behind", F.lead(F.struct("part", *SIGNED)).over(followed)).where("behind.part != part")
+    crossing = behind.select(*SIGNED, *[F.col(f"behind.{c}").alias(f"{c}_b") for c in SIGNED])
 
     def cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for row in rows([batch]):
-                a, b = pair(row[:6], row[6:])
-                out += [(x[2], x[3], s) for x, s in ((row[:6], a), (row[6:], b)) if s]
+            for row in rows(batch):
+                a, b = row[: len(SIGNED)], row[len(SIGNED) :]
+                if shared := pair_lines(a, b):
+                    out += [(x[0], x[2], shared) for x in (a, b)]
             if out:
-                kinds = (batch.schema.field(2).type, pa.int64(), pa.binary())
-                columns = [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)]
-                yield pa.RecordBatch.from_arrays(columns, ["page", "content", "shared"])
+                yield found_batch(out)
 
     return inner.unionByName(crossing.mapInArrow(cross, schema))
 
 
+def stored_pages(pages: DataFrame, key: str, url: str, html: str) -> DataFrame:
+    """The parsed pages, written to the shared folder once and read again."""
+    spark = pages.sparkSession
+    kept = scratch_path(spark, "pages")
+    parsed = parse_pages(pages, key, url, html)
+    parsed.write.option("compression", "zstd").parquet(kept)
+    return spark.read.schema(parsed.schema).parquet(kept)
+
+
+def with_template(some: DataFrame, parsed: DataFrame) -> DataFrame:
+    """``some`` parsed pages with ``shared``: lists of hashes of lines that a neighbour shares, null without any."""
+    shared = shared_with_neighbours(parsed.where(F.octet_length("lines") > 0).select(*SIGNED))
+    # One row per content and host; few have more than two lists.
+    template = shared.groupBy(F.col("host").alias("h"), F.col("content").alias("c")).agg(F.collect_set("shared").alias("shared"))
+    left, right, match = splittable(some, template, [("host", "h"), ("content", "c")])
+    return left.join(right, match, "left").drop(PLACE, PLACE + "r", "h", "c")
+
+
+def differenced(lines: bytes, kinds: str, shared: list[bytes] | None) -> list[bool]:
+    """Which lines of a page go because a neighbour shares them."""
+    gone = {h for part in shared or () for h in np.frombuffer(part, dtype="<i8").tolist()}
+    return [k != ARTICLE and h in gone for k, h in zip(kinds, np.frombuffer(lines, dtype="<i8").tolist(), strict=True)]
+
+
 def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """Per row: key, url, ``text`` (kept blocks joined by a line end) and ``n_chars``."""
-    shared = shared_with_neighbours(signatures(pages, key, url, html))
-    # One row per page; rows of one id share what is deleted.
-    template = shared.groupBy(F.col("page").alias("p")).agg(F.collect_set("shared").alias("shared"))
-    narrow = pages.select(F.col(key).alias("page"), F.col(url).alias("url"), F.col(html).alias("html"))
-    marked = narrow.join(template, F.col("page") == F.col("p"), "left").select("page", "url", "html", "shared")
-    kind = narrow.schema["page"].dataType.simpleString()
+    parsed = stored_pages(pages, key, url, html)
+    kind = parsed.schema["page"].dataType.simpleString()
+    open_lines = F.contains("kinds", F.lit(PLAIN))
+    undecided = with_template(parsed.where(open_lines).select("page", "url", "host", "content", "lines", "kinds", "texts"), parsed)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = []
-            for page, found in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                gone = {h for part in found or () for h in np.frombuffer(part, dtype="<i8").tolist()}
-                texts.append("\n".join(t for t, kind in blocks_of(page) if kind == ARTICLE or (kind == PLAIN and digest(t) not in gone)))
+            for lines, kinds, page, shared in zip(*(batch.column(i).to_pylist() for i in range(2, 6)), strict=True):
+                gone = differenced(lines, kinds, shared)
+                left = [g for g, k in zip(gone, kinds, strict=True) if k != FURNITURE]
+                texts.append("\n".join(text for text, g in zip(page, left, strict=True) if not g))
             columns = [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, [key, "url", "text", "n_chars"])
 
-    return marked.mapInArrow(work, f"`{key}` {kind}, url string, text string, n_chars long")
+    schema = f"`{key}` {kind}, url string, text string, n_chars long"
+    decided = parsed.where(~open_lines).select(
+        F.col("page").alias(key), "url", F.array_join("texts", "\n").alias("text")
+    )
+    decided = decided.withColumn("n_chars", F.length("text").cast("long"))
+    return undecided.select("page", "url", "lines", "kinds", "texts", "shared").mapInArrow(work, schema).unionByName(decided)
+
+
+def deleted_lines(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
+    """Per row: key, ``n_differenced`` (lines that a neighbour shares) and ``n_marked`` (others, by their markup's name)."""
+    parsed = stored_pages(pages, key, url, html)
+    kind = parsed.schema["page"].dataType.simpleString()
+    marked = with_template(parsed.select("page", "host", "content", "lines", "kinds"), parsed)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            both = []
+            for lines, kinds, shared in zip(*(batch.column(i).to_pylist() for i in range(1, 4)), strict=True):
+                gone = differenced(lines, kinds, shared)
+                both.append((sum(gone), sum(k == FURNITURE and not g for k, g in zip(kinds, gone, strict=True))))
+            counts = [pa.array([b[i] for b in both], pa.int64()) for i in (0, 1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *counts], [key, "n_differenced", "n_marked"])
+
+    return marked.select("page", "lines", "kinds", "shared").mapInArrow(work, f"`{key}` {kind}, n_differenced long, n_marked long")
