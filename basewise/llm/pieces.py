@@ -5,8 +5,8 @@ for every space. An agenda holds every adjacent pair of symbols whose joined tex
 is a piece; the entry of the best score, the leftmost among equals, is joined
 first, until none is left. Where no piece of the vocabulary has a mark behind
 another character, no merge crosses the place before a run of marks, so such
-chunks are encoded on their own and remembered (in a table that is emptied when
-it is full). Short chunks share one agenda step per round as arrays, long ones
+chunks are encoded on their own and remembered (those not met for a while are
+forgotten). Short chunks share one agenda step per round as arrays, long ones
 have a heap. New chunks are checked against the sentencepiece library once per
 Arrow batch; where it differs its ids win and ``n_differ`` counts the uses.
 
@@ -34,8 +34,8 @@ MARK = "▁"
 NONE = np.int32(2**31 - 1)
 # Chunks of up to this many symbols are encoded side by side.
 SHORT = 48
-# Remembered chunks per task; their number bounds memory, not results.
-REMEMBERED = 300_000
+# Chunks after which a task begins to forget those it has not met since; their number bounds memory, not results.
+REMEMBERED = 200_000
 
 
 class MergeTable:
@@ -175,7 +175,9 @@ class Encoder:
 
     def __init__(self, model: bytes) -> None:
         self.table = MergeTable(model)
+        # What was used lately, and what was used before that.
         self.known: dict[str, tuple[bytes, bytes, int, int]] = {}
+        self.older: dict[str, tuple[bytes, bytes, int, int]] = {}
         self.cut = re.compile(f"{MARK}+[^{MARK}]*").findall
 
     def chunks(self, text: str) -> list[str]:
@@ -236,13 +238,14 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[list[tuple[bytes, bytes, int, int]]]:
         """Remembered entries of all chunks of each text."""
         parts = [self.chunks(t) for t in texts]
-        new = {c for p in parts for c in p} - self.known.keys()
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known.clear()
-            new = {c for p in parts for c in p}
-        self.learn(new)
-        known = self.known
-        return [[known[c] for c in p] for p in parts]
+        known, older = self.known, self.older
+        new = set().union(*parts) - known.keys()
+        known.update((c, older[c]) for c in new & older.keys())
+        self.learn(new - older.keys())
+        out = [[known[c] for c in p] for p in parts]
+        if len(known) > REMEMBERED:
+            self.older, self.known = known, {}
+        return out
 
 
 SCHEMAS = {
@@ -283,7 +286,7 @@ def encode_texts(
             packed = [np.frombuffer(b"".join([e[1] for e in f]), dtype=np.int32) for f in found]
             decoded = None
             if "decoded" in outputs or "decoded_sha256" in outputs:
-                decoded = [encoder.table.library.decode(ids.tolist()) if len(ids) else "" for ids in packed]
+                decoded = encoder.table.library.decode([ids.tolist() for ids in packed]) if packed else []
             for o in outputs:
                 if o == "ids":
                     offsets = np.cumsum([0, *(len(i) for i in packed)]).astype(np.int32)
