@@ -95,6 +95,15 @@ class MergeTable:
                 out.append(self.unknown_id)
         return out
 
+    def spelled(self, symbols: list[int], chunk: str) -> list[str]:
+        """The text of each final symbol of a chunk; unknown symbols are one character each."""
+        out, at = [], 0
+        for s in symbols:
+            size = len(self.texts[s]) if s in self.texts else 1
+            out.append(chunk[at : at + size])
+            at += size
+        return out
+
     def by_heap(self, chunk: str) -> list[int]:
         """One chunk of any length with a heap as agenda."""
         text: list[str] = list(chunk)
@@ -175,6 +184,7 @@ class Encoder:
 
     def __init__(self, model: bytes) -> None:
         self.table = MergeTable(model)
+        self.names = [str(i).encode() for i in range(self.table.count)]
         # What was used lately, and what was used before that.
         self.known: dict[str, tuple[bytes, bytes, int, int]] = {}
         self.older: dict[str, tuple[bytes, bytes, int, int]] = {}
@@ -203,7 +213,10 @@ class Encoder:
                 inside = np.arange(symbols.shape[1]) < counts[:, None]
                 plain = ~((symbols >= self.table.count) & inside).any(axis=1)
                 if not plain.all():
-                    single.extend(part[r] for r in np.flatnonzero(~plain))
+                    # What is no piece falls back to bytes, text by text.
+                    odd = [(part[r], symbols[r, : counts[r]].tolist()) for r in np.flatnonzero(~plain).tolist()]
+                    found = [self.table.ids(row, self.table.spelled(row, chunk)) for chunk, row in odd]
+                    self.remember([chunk for chunk, _ in odd], np.array(list(itertools.chain.from_iterable(found)), dtype=np.int32), np.array([len(i) for i in found], dtype=np.int64))
                     part = [part[r] for r in np.flatnonzero(plain)]
                     symbols, counts, inside = symbols[plain], counts[plain], inside[plain]
                 self.remember(part, symbols[inside], counts)
@@ -231,8 +244,9 @@ class Encoder:
             ids = np.fromiter(itertools.chain.from_iterable(checked), dtype=np.int32)
             ends = np.cumsum([len(c) for c in checked])
         data, at = ids.astype(np.int32).tobytes(), 0
+        names = self.names
         for chunk, found, end, d in zip(chunks, checked, (ends * 4).tolist(), differs, strict=True):
-            self.known[chunk] = (",".join(map(str, found)).encode(), data[at:end], len(found), d)
+            self.known[chunk] = (b",".join([names[i] for i in found]), data[at:end], len(found), d)
             at = end
 
     def encode(self, texts: list[str]) -> list[list[tuple[bytes, bytes, int, int]]]:
