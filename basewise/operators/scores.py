@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from basewise.functions.numbers import rounded_difference
 from basewise.functions.structures import pair_distance
 from basewise.functions.trees import tree_distance
-from basewise.operators.skew import salted_join
+from basewise.operators.skew import deal_out, salted_join
 from basewise.sources.tool_output import FOLD_SCORES, FOLD_STRUCTURES
 
 # Names of the differences, and of the columns a re-scored table must lose.
@@ -75,5 +75,6 @@ def pair_distances(
 def tree_distances(
     df: DataFrame, pairs: Mapping[str, str] = DISTANCE_SOURCES, prefix: str = WILDTYPE_PREFIX
 ) -> DataFrame:
-    """Add tree-edit distances between each alternate structure and its wildtype."""
+    """Add tree-edit distances between each alternate structure and its wildtype; rows are dealt out for it."""
+    df = deal_out(df)
     return df.withColumns({name: tree_distance(prefix + c, c) for name, c in pairs.items()})

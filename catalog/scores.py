@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from basewise.functions import pair_distance, tree_distance
 from basewise.operators import attach_wildtype, deltas, parse_annotations, pipe_batches, to_tool_records
 from basewise.operators.pipe import PDIST_INPUT
+from basewise.operators.skew import deal_out
 from basewise.sources import parse_coverage, parse_distance, parse_fold, parse_pdist
 from basewise.sources.tool_output import FOLD_SCORES, FOLD_STRUCTURES
 from catalog.derive import SQL_SEQUENCES, sequences, table, text
@@ -201,7 +202,7 @@ def pair_distance_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def tree_distance_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tree-edit distance of the same structures; SQL has no form of it."""
     first, second = _bracket_pair()
-    pairs = _parts(spark, sf_dir).select("p_partkey", first.alias("first"), second.alias("second"))
+    pairs = deal_out(_parts(spark, sf_dir)).select("p_partkey", first.alias("first"), second.alias("second"))
     return pairs.select("p_partkey", "first", "second", tree_distance("first", "second").alias("distance"))
 
 
