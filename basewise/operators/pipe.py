@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from basewise.operators.skew import deal_out
+
 # Key and sequence columns that the three kinds of program get, with their separators.
 FOLD_INPUT = {
     "key_cols": ("nm_id", "transcript_position", "ref", "alt", "wildSequence", "isWildType"),
@@ -73,7 +75,8 @@ def pipe_batches(
     The program runs once per ``records_per_run`` records, reads them on
     standard input and writes records that begin with ``record_start`` (taken
     off in the result) on standard output, as the ``parse_*`` functions expect.
-    Only one such batch is held at a time. A non-zero exit status fails the task.
+    Records are dealt out over ``partitions`` tasks (:func:`deal_out`), however few
+    files they come from. Only one such batch is held at a time. A non-zero exit status fails the task.
     The program must be a pure function of its input, since lost tasks are run again.
     """
     command = list(command)
@@ -86,7 +89,4 @@ def pipe_batches(
                 values = [part for part in output.split(record_start) if part.strip()]
                 yield pa.RecordBatch.from_arrays([pa.array(values, pa.string())], ["value"])
 
-    records = df.select("value")
-    if partitions:
-        records = records.repartition(partitions)
-    return records.mapInArrow(run, "value string")
+    return deal_out(df.select("value"), partitions).mapInArrow(run, "value string")

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
+from basewise.operators.pipe import pipe_batches
 from basewise.operators.skew import splittable
 
 TESTDATA = "/root/testdata/sf0.001"
@@ -33,3 +34,12 @@ def test_queries_broadcast_contig_names_at_most(spark, name):
 
 def test_genome_of_alleles_is_shuffled(spark):
     assert "BroadcastHashJoin" not in _plan(contract.queries()["lift_indels"](spark, TESTDATA))
+
+
+def test_costly_rows_are_dealt_out(spark):
+    few = spark.range(40).coalesce(1)
+    at_least = spark.sparkContext.defaultParallelism
+    piped = pipe_batches(few.select(F.concat(F.lit(">"), F.col("id").cast("string")).alias("value")), ["cat"])
+    assert piped.rdd.getNumPartitions() >= at_least
+    assert {r.value.strip() for r in piped.collect()} == {str(i) for i in range(40)}
+    assert contract.queries()["tree_distance"](spark, TESTDATA).rdd.getNumPartitions() >= at_least
