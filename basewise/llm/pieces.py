@@ -186,14 +186,18 @@ class Encoder:
         self.table = MergeTable(model)
         self.names = [str(i).encode() for i in range(self.table.count)]
         # What was used lately, and what was used before that.
-        self.known: dict[str, tuple[bytes, bytes, int, int]] = {}
-        self.older: dict[str, tuple[bytes, bytes, int, int]] = {}
+        self.known: dict[str, tuple[bytes, bytes, int]] = {}
+        self.older: dict[str, tuple[bytes, bytes, int]] = {}
+        self.differed = False
         self.cut = re.compile(f"{MARK}+[^{MARK}]*").findall
 
     def chunks(self, text: str) -> list[str]:
         """The parts that no merge crosses."""
         if not text:
             return []
+        if self.table.cuttable and not (text[0] == " " or "  " in text or MARK in text):
+            # Every mark is a run of its own.
+            return (MARK + text.replace(" ", " " + MARK)).split(" ")
         marked = MARK + text.replace(" ", MARK)
         return self.cut(marked) if self.table.cuttable else [marked]
 
@@ -241,22 +245,23 @@ class Encoder:
                 if chunk == MARK:
                     checked[k] = mine
                 differs[k] = int(mine != checked[k])
+            self.differed = self.differed or any(differs)
             ids = np.fromiter(itertools.chain.from_iterable(checked), dtype=np.int32)
             ends = np.cumsum([len(c) for c in checked])
         data, at = ids.astype(np.int32).tobytes(), 0
         names = self.names
         for chunk, found, end, d in zip(chunks, checked, (ends * 4).tolist(), differs, strict=True):
-            self.known[chunk] = (b",".join([names[i] for i in found]), data[at:end], len(found), d)
+            self.known[chunk] = (b",".join([names[i] for i in found]), data[at:end], d)
             at = end
 
-    def encode(self, texts: list[str]) -> list[list[tuple[bytes, bytes, int, int]]]:
+    def encode(self, texts: list[str]) -> list[list[tuple[bytes, bytes, int]]]:
         """Remembered entries of all chunks of each text."""
         parts = [self.chunks(t) for t in texts]
         known, older = self.known, self.older
         new = set().union(*parts) - known.keys()
         known.update((c, older[c]) for c in new & older.keys())
         self.learn(new - older.keys())
-        out = [[known[c] for c in p] for p in parts]
+        out = [list(map(known.__getitem__, p)) for p in parts]
         if len(known) > REMEMBERED:
             self.older, self.known = known, {}
         return out
@@ -294,10 +299,10 @@ def encode_texts(
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             found = encoder.encode(texts_of(batch.column(1)))
-            columns = [batch.column(0), pa.array([sum(e[2] for e in f) for f in found], pa.int64())]
-            columns.append(pa.array([sum(e[3] for e in f) for f in found], pa.int64()))
-            names = [key, "n_tokens", "n_differ"]
             packed = [np.frombuffer(b"".join([e[1] for e in f]), dtype=np.int32) for f in found]
+            columns = [batch.column(0), pa.array([len(i) for i in packed], pa.int64())]
+            columns.append(pa.array([sum(e[2] for e in f) if encoder.differed else 0 for f in found], pa.int64()))
+            names = [key, "n_tokens", "n_differ"]
             decoded = None
             if "decoded" in outputs or "decoded_sha256" in outputs:
                 decoded = encoder.table.library.decode([ids.tolist() for ids in packed]) if packed else []

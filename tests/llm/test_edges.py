@@ -353,3 +353,22 @@ def test_stages(spark, docs, nothing, sf_dir, stage):
     elif want is not None:
         assert kept == want
     assert step(spark, nothing, sf_dir).count() == 0
+
+
+def test_chunks_of_pieces_at_odd_spaces_and_marks():
+    import re
+
+    import public_tokenizers
+
+    from basewise.llm.pieces import MARK, Encoder
+
+    with open(public_tokenizers.path("piece_bpe_32k.model"), "rb") as file:
+        encoder = Encoder(file.read())
+    library = encoder.table.library
+    texts = ["", " ", "  ", "a", "a b", " a b", "a b ", "a  b", f"a{MARK}b c", MARK, f"{MARK} a", "a\tb\nc d", "é 漢 \U0001f600 x"]
+    for text in texts:
+        assert encoder.chunks(text) == re.findall(f"{MARK}+[^{MARK}]*", MARK + text.replace(" ", MARK) if text else "")
+    found = encoder.encode(texts)
+    assert all(len(e) == 3 for f in found for e in f)
+    assert [sum(len(e[1]) // 4 for e in f) for f in found] == [len(i) for i in library.encode(texts)]
+    assert encoder.differed == any(e[2] for f in found for e in f)
