@@ -17,6 +17,7 @@ Only the two named columns are read, so further columns can have any name.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import heapq
 import itertools
@@ -54,7 +55,6 @@ class MergeTable:
         for piece in pieces:
             for char in piece:
                 self.symbols.setdefault(char, len(self.symbols) + count)
-        self.texts = {i: t for t, i in self.symbols.items()}
         self.unknown = len(self.symbols) + count + 1
         scores = sorted({lib.get_score(i) for i in pieces.values()}, reverse=True)
         rank = {s: k for k, s in enumerate(scores)}
@@ -95,15 +95,6 @@ class MergeTable:
                 out.append(self.unknown_id)
         return out
 
-    def spelled(self, symbols: list[int], chunk: str) -> list[str]:
-        """The text of each final symbol of a chunk; unknown symbols are one character each."""
-        out, at = [], 0
-        for s in symbols:
-            size = len(self.texts[s]) if s in self.texts else 1
-            out.append(chunk[at : at + size])
-            at += size
-        return out
-
     def by_heap(self, chunk: str) -> list[int]:
         """One chunk of any length with a heap as agenda."""
         text: list[str] = list(chunk)
@@ -136,47 +127,55 @@ class MergeTable:
         return self.ids([symbols[i] for i in left], [text[i] for i in left])
 
     def by_rounds(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Final symbols, padded, and their counts for chunks of one length.
+        """Ids, row by row, and their counts for short chunks.
 
-        Each round takes the first agenda entry of every chunk that has one.
+        Each round takes the first agenda entry of every chunk that has one. Symbols stay in
+        their places, linked to their neighbours; what is joined to its left one is gone.
         """
-        rows, width = len(chunks), len(chunks[0])
-        points = np.frombuffer("".join(chunks).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-        symbols = self.by_point[points].reshape(rows, width)
-        counts = np.full(rows, width)
-        if width == 1:
+        rows = len(chunks)
+        sizes = np.fromiter(map(len, chunks), dtype=np.int64, count=rows)
+        # One place more than symbols, so that the last one has a neighbour that joins with nothing.
+        width = int(sizes.max()) + 1
+        points = np.frombuffer("".join([c.ljust(width) for c in chunks]).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        places = np.arange(width)
+        kept = places < sizes[:, None]
+        symbols = np.where(kept, self.by_point[points].reshape(rows, width), np.int32(self.unknown))
+        rank = np.full((rows, width), NONE, dtype=np.int32)
+        joined = np.zeros((rows, width), dtype=np.int32)
+        rank[:, :-1], joined[:, :-1] = self.pairs(symbols[:, :-1], symbols[:, 1:])
+        grid = np.arange(rows * width).reshape(rows, width)
+        after, before = (grid + 1).ravel(), (grid - 1).ravel()
+        flat, alive, ranks, results = symbols.ravel(), kept.ravel(), rank.ravel(), joined.ravel()
+        going = np.arange(rows)
+        while len(going):
+            here = going * width + (rank if len(going) == rows else rank[going]).argmin(axis=1)
+            some = ranks[here] != NONE
+            if not some.all():
+                going, here = going[some], here[some]
+            gone = after[here]
+            behind = after[gone]
+            flat[here] = results[here]
+            alive[gone], ranks[gone] = False, NONE
+            after[here], before[behind] = behind, here
+            ahead = before[here]
+            inside = here % width > 0
+            ahead, second = ahead[inside], here[inside]
+            left, right = np.concatenate([here, ahead]), np.concatenate([behind, second])
+            ranks[left], results[left] = self.pairs(flat[left], flat[right])
+        return self.fallen_back(flat[alive], points[alive], alive.reshape(rows, width).sum(axis=1))
+
+    def fallen_back(self, symbols: np.ndarray, points: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and their counts from symbols, of which those that are no piece (one character each) become their bytes."""
+        odd = symbols >= self.count
+        if not odd.any():
             return symbols, counts
-        here = np.arange(rows)
-        own, length = symbols, counts.copy()
-        rank, joined = self.pairs(own[:, :-1], own[:, 1:])
-        own = own.copy()
-        columns = np.arange(width)
-        while True:
-            best = rank.argmin(axis=1)
-            going = rank[np.arange(len(here)), best] != NONE
-            if not going.all():
-                stopped = ~going
-                symbols[here[stopped]] = own[stopped]
-                counts[here[stopped]] = length[stopped]
-                if not going.any():
-                    return symbols, counts
-                here, own, length, best, rank, joined = (x[going] for x in (here, own, length, best, rank, joined))
-            line = np.arange(len(here))
-            result = joined[line, best]
-            # Close the gap behind the joined pair.
-            behind = columns[None, :-1] > best[:, None]
-            own[:, :-1] = np.where(behind, own[:, 1:], own[:, :-1])
-            own[line, best] = result
-            length = length - 1
-            own[line, length] = self.unknown
-            behind = behind[:, :-1]
-            rank[:, :-1] = np.where(behind, rank[:, 1:], rank[:, :-1])
-            joined[:, :-1] = np.where(behind, joined[:, 1:], joined[:, :-1])
-            rank[line, length - 1] = NONE
-            for at in (best - 1, best):
-                ok = (at >= 0) & (at + 1 < length)
-                r, c = line[ok], at[ok]
-                rank[r, c], joined[r, c] = self.pairs(own[r, c], own[r, c + 1])
+        chars, which = np.unique(points[odd], return_inverse=True)
+        found = [self.ids([self.unknown], [chr(c)]) for c in chars.tolist()]
+        sizes = np.ones(len(symbols), dtype=np.int64)
+        sizes[odd] = np.array([len(i) for i in found])[which]
+        ids = np.repeat(symbols, sizes)
+        ids[np.repeat(odd, sizes)] = list(itertools.chain.from_iterable(map(found.__getitem__, which.tolist())))
+        return ids, np.add.reduceat(sizes, np.cumsum(counts) - counts)
 
 
 class Encoder:
@@ -185,9 +184,9 @@ class Encoder:
     def __init__(self, model: bytes) -> None:
         self.table = MergeTable(model)
         self.names = [str(i).encode() for i in range(self.table.count)]
-        # What was used lately, and what was used before that.
-        self.known: dict[str, tuple[bytes, bytes, int]] = {}
-        self.older: dict[str, tuple[bytes, bytes, int]] = {}
+        # What was used lately, and what was used before that: number of ids, ids, whether the library differs.
+        self.known: dict[str, tuple[int, bytes, int]] = {}
+        self.older: dict[str, tuple[int, bytes, int]] = {}
         self.differed = False
         self.cut = re.compile(f"{MARK}+[^{MARK}]*").findall
 
@@ -203,27 +202,18 @@ class Encoder:
 
     def learn(self, chunks: set[str]) -> None:
         """Encode chunks, check them against the library, remember them."""
+        # Chunks of about the same length go side by side.
         by_length: dict[int, list[str]] = {}
         single: list[str] = []
         for chunk in chunks:
             if len(chunk) <= SHORT:
-                by_length.setdefault(len(chunk), []).append(chunk)
+                by_length.setdefault((len(chunk) + 1) // 4, []).append(chunk)
             else:
                 single.append(chunk)
         for same in by_length.values():
             for at in range(0, len(same), 20_000):
                 part = same[at : at + 20_000]
-                symbols, counts = self.table.by_rounds(part)
-                inside = np.arange(symbols.shape[1]) < counts[:, None]
-                plain = ~((symbols >= self.table.count) & inside).any(axis=1)
-                if not plain.all():
-                    # What is no piece falls back to bytes, text by text.
-                    odd = [(part[r], symbols[r, : counts[r]].tolist()) for r in np.flatnonzero(~plain).tolist()]
-                    found = [self.table.ids(row, self.table.spelled(row, chunk)) for chunk, row in odd]
-                    self.remember([chunk for chunk, _ in odd], np.array(list(itertools.chain.from_iterable(found)), dtype=np.int32), np.array([len(i) for i in found], dtype=np.int64))
-                    part = [part[r] for r in np.flatnonzero(plain)]
-                    symbols, counts, inside = symbols[plain], counts[plain], inside[plain]
-                self.remember(part, symbols[inside], counts)
+                self.remember(part, *self.table.by_rounds(part))
         ids = [self.table.by_heap(chunk) for chunk in single]
         self.remember(single, np.array([i for k in ids for i in k], dtype=np.int32), np.array([len(i) for i in ids], dtype=np.int64))
 
@@ -248,13 +238,12 @@ class Encoder:
             self.differed = self.differed or any(differs)
             ids = np.fromiter(itertools.chain.from_iterable(checked), dtype=np.int32)
             ends = np.cumsum([len(c) for c in checked])
-        data, at = ids.astype(np.int32).tobytes(), 0
-        names = self.names
-        for chunk, found, end, d in zip(chunks, checked, (ends * 4).tolist(), differs, strict=True):
-            self.known[chunk] = (b",".join([names[i] for i in found]), data[at:end], d)
+        data, at, known = ids.astype(np.int32).tobytes(), 0, self.known
+        for chunk, end, d in zip(chunks, (ends * 4).tolist(), differs, strict=True):
+            known[chunk] = ((end - at) // 4, data[at:end], d)
             at = end
 
-    def encode(self, texts: list[str]) -> list[list[tuple[bytes, bytes, int]]]:
+    def encode(self, texts: list[str]) -> list[list[tuple[int, bytes, int]]]:
         """Remembered entries of all chunks of each text."""
         parts = [self.chunks(t) for t in texts]
         known, older = self.known, self.older
@@ -298,21 +287,32 @@ def encode_texts(
         encoder = Encoder(model)
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+            # Many small objects without cycles: looking for cycles in between takes a sixth of the time.
+            collects = gc.isenabled()
+            gc.disable()
+            try:
+                return encoded(batch)
+            finally:
+                if collects:
+                    gc.enable()
+
+        def encoded(batch: pa.RecordBatch) -> pa.RecordBatch:
             found = encoder.encode(texts_of(batch.column(1)))
             packed = [np.frombuffer(b"".join([e[1] for e in f]), dtype=np.int32) for f in found]
+            lists = [ids.tolist() for ids in packed]
             columns = [batch.column(0), pa.array([len(i) for i in packed], pa.int64())]
             columns.append(pa.array([sum(e[2] for e in f) if encoder.differed else 0 for f in found], pa.int64()))
             names = [key, "n_tokens", "n_differ"]
             decoded = None
             if "decoded" in outputs or "decoded_sha256" in outputs:
-                decoded = encoder.table.library.decode([ids.tolist() for ids in packed]) if packed else []
+                decoded = encoder.table.library.decode(lists) if packed else []
             for o in outputs:
                 if o == "ids":
                     offsets = np.cumsum([0, *(len(i) for i in packed)]).astype(np.int32)
                     values = np.concatenate(packed) if packed else np.empty(0, dtype=np.int32)
                     column = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, pa.int32()))
                 elif o == "ids_sha256":
-                    column = [hashlib.sha256(b",".join([e[0] for e in f])).hexdigest() for f in found]
+                    column = [hashlib.sha256(b",".join([encoder.names[i] for i in ids])).hexdigest() for ids in lists]
                 elif o == "decoded":
                     column = decoded
                 else:

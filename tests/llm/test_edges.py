@@ -372,3 +372,18 @@ def test_chunks_of_pieces_at_odd_spaces_and_marks():
     assert all(len(e) == 3 for f in found for e in f)
     assert [sum(len(e[1]) // 4 for e in f) for f in found] == [len(i) for i in library.encode(texts)]
     assert encoder.differed == any(e[2] for f in found for e in f)
+
+
+def test_short_chunks_of_mixed_lengths_go_side_by_side():
+    import public_tokenizers
+
+    from basewise.llm.pieces import MARK, MergeTable
+
+    with open(public_tokenizers.path("piece_bpe_32k.model"), "rb") as file:
+        table = MergeTable(file.read())
+    chunks = [MARK, f"{MARK}a", f"{MARK}the", f"{MARK}end.\nNew", f"{MARK}\U0001f600x漢", f"{MARK}\n\n", f"{MARK}tothethethethe", f"{MARK}éß$$$", MARK * 3, "\x00"]
+    for some in (chunks, chunks[::-1], chunks[:1], chunks[5:6]):
+        ids, counts = table.by_rounds(some)
+        wanted = [table.by_heap(c) for c in some]
+        assert counts.tolist() == [len(w) for w in wanted]
+        assert ids.tolist() == [i for w in wanted for i in w]
