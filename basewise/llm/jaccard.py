@@ -31,10 +31,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from basewise.llm.common import runs, settle, texts_of
+from basewise.llm.common import runs, settle, texts_of, with_mark
 from basewise.llm.components import components
 from basewise.llm.shingles import Shingler
 from basewise.operators.skew import splittable
@@ -135,12 +135,23 @@ def signatures(docs: DataFrame, size: int, percent: int, order: np.ndarray) -> D
     return docs.mapInArrow(work, SIGNED)
 
 
+def group_name() -> Column:
+    """A hash of what names a group: its size and its prefix."""
+    return F.xxhash64("n", "prefix1", "prefix2")
+
+
 def candidate_clusters(signed: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
     """``node`` and ``component`` of the groups (named by one member) that share a prefix shingle with a group of a near size."""
-    prefixes = signed.join(groups.select(F.col("group").alias("key"), F.col("n").alias("group_n")), "key", "left_semi")
+    # Rows that are a group by themselves post their own prefix; only those of larger groups, or of repeated keys, are looked up.
+    larger = groups.where("rows > 1").select(group_name().alias("mark"))
+    repeated = signed.groupBy("key").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select(F.xxhash64("key").alias("mark"))
+    marks = settle(larger.unionByName(repeated))
+    marked = with_mark(with_mark(signed, group_name(), marks, "_several"), F.xxhash64("key"), marks, "_again").select("key", "n", "prefix", (F.col("_several") | F.col("_again")).alias("_look"))
+    looked = marked.where("_look").join(groups.select(F.col("group").alias("key")), "key", "left_semi").dropDuplicates(["key"])
+    prefixes = marked.where("not _look").unionByName(looked)
     step = math.log(100 / percent)
     # 48 bits of a shingle suffice: a clash only makes a cluster larger.
-    posts = prefixes.dropDuplicates(["key"]).select(F.explode("prefix").alias("token"), F.col("key").alias("group"), "n")
+    posts = prefixes.select(F.explode("prefix").alias("token"), F.col("key").alias("group"), "n")
     posts = posts.withColumn("token", F.shiftrightunsigned("token", 16))
     shared = posts.withColumn("m", F.count(F.lit(1)).over(Window.partitionBy("token"))).where("m > 1")
     # Prefixes that are longer by l - 1 share l shingles, l that of the smaller set; its size is at least this one's least_common.
@@ -149,7 +160,9 @@ def candidate_clusters(signed: DataFrame, groups: DataFrame, percent: int) -> Da
     able = shared.withColumn("s", F.count(F.lit(1)).over(Window.partitionBy("group"))).where(F.col("s") >= asked)
     # Sizes that can match lie in one class or in neighbouring ones, so each group stands in its own and the next.
     c = F.floor(F.log(F.col("n").cast("double")) / step + 1e-9).cast("int")
-    placed = able.select("token", "group", F.explode(F.array(c, c + 1)).alias("c"))
+    # Both classes come from one shuffle by the shingle.
+    dealt = able.select("token", "group", c.alias("c")).repartition("token")
+    placed = dealt.select("token", "group", F.explode(F.array(F.col("c"), F.col("c") + 1)).alias("c"))
     hung = placed.withColumn("hub", F.min("group").over(Window.partitionBy("token", "c")))
     return components(hung.where("group != hub").select("group", "hub").distinct())
 
@@ -209,7 +222,9 @@ def verified_links(docs: DataFrame, members: DataFrame, size: int, percent: int,
     dealt = left.join(right, condition).select(
         F.col("key").alias("member"), "set1", "set2", "cluster", blocks.alias("blocks"), F.pmod(F.xxhash64("key"), blocks).cast("int").alias("block")
     )
-    texts = docs.join(dealt, F.col("key") == F.col("member"))
+    # Texts that belong to no cluster are left where they are.
+    wanted = with_mark(docs, F.col("key"), members.select("key"), "_wanted").where("_wanted").drop("_wanted")
+    texts = wanted.join(dealt, F.col("key") == F.col("member"))
     texts = texts.select("key", "text", "set1", "set2", "cluster", "blocks", "block")
 
     def shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -274,13 +289,13 @@ def link_documents(
     usable = signed.where(F.col("key").isNotNull() & (F.col("n") > 0))
     names = ["n", "set1", "set2", "prefix1", "prefix2"]
     classes = settle(usable.groupBy(*names).agg(F.min("key").alias("key"), F.count(F.lit(1)).alias("rows")))
-    groups = classes.groupBy("n", "prefix1", "prefix2").agg(F.min("key").alias("group"), F.count(F.lit(1)).alias("classes"))
+    groups = classes.groupBy("n", "prefix1", "prefix2").agg(F.min("key").alias("group"), F.count(F.lit(1)).alias("classes"), F.sum("rows").alias("rows"))
     clusters = candidate_clusters(usable, groups, percent)
     # A class belongs to its group's cluster; a group of several classes is one even alone.
     left, right, condition = splittable(classes, groups.select(F.col("n").alias("gn"), F.col("prefix1").alias("g1"), F.col("prefix2").alias("g2"), "group", "classes"), [("n", "gn"), ("prefix1", "g1"), ("prefix2", "g2")])
     grouped = left.join(right, condition).select("key", "n", "set1", "set2", "group", "classes")
     members = grouped.join(clusters, F.col("group") == F.col("node"), "left").where(F.col("component").isNotNull() | (F.col("classes") > 1))
-    members = members.select("key", "n", "set1", "set2", F.coalesce("component", "group").alias("cluster"))
+    members = settle(members.select("key", "n", "set1", "set2", F.coalesce("component", "group").alias("cluster")))
     # An id that stands for several classes links them.
     same_id = usable.select("key", "set1", "set2").join(
         usable.groupBy("key").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("key"), "key"

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from basewise.llm import jaccard, leaks, ngram, pieces, toxicity
-from basewise.llm.common import settle, table
+from basewise.llm.common import settle, table, with_mark
 from basewise.llm.queries import PIECE_MODEL, ship_workers
 from basewise.llm.warc import scratch_path
 from basewise.operators.skew import splittable
@@ -40,15 +40,18 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of near duplicates, that of the smallest id."""
     linked = jaccard.link_documents(docs, SHINGLE_WORDS, SIMILARITY_PERCENT)
-    # One row per id to keep; few ids have several rows.
-    kept = settle(linked.where("doc_id = component").groupBy(F.col("doc_id").alias("_kept")).agg(F.count(F.lit(1)).alias("_rows")))
-    left, right, condition = splittable(docs, kept, [("doc_id", "_kept")])
-    joined = left.join(right, condition)
+    # Most ids are one row that stays: only rows whose id may be another case are joined with those.
+    rows, least = F.count(F.lit(1)), F.count_if(F.col("doc_id") == F.col("component"))
+    found = linked.where("doc_id is not null").groupBy(F.col("doc_id").alias("_id")).agg(rows.alias("_all"), least.alias("_rows"))
+    cases = settle(found.where("_all > 1 or _rows = 0").select("_id", "_rows"))
+    marked = with_mark(docs, F.col("doc_id"), cases.select("_id"), "_case")
     columns = [F.col(f"`{c}`") for c in docs.columns]
+    left, right, condition = splittable(marked.where("_case").drop("_case"), cases, [("doc_id", "_id")])
+    joined = left.join(right, condition, "left").withColumn("_rows", F.coalesce("_rows", F.lit(1)))
     single = joined.where("_rows = 1").select(*columns)
     order = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text")
     several = joined.where("_rows > 1").withColumn("_at", F.row_number().over(order)).where("_at = 1").select(*columns)
-    return single.unionByName(several).unionByName(docs.where(F.col("doc_id").isNull()))
+    return marked.where("not _case").select(*columns).unionByName(single).unionByName(several)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
