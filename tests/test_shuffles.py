@@ -107,3 +107,16 @@ def test_alleles_are_checked_in_the_chunk_of_their_piece(spark):
     assert sorted((r.i, r.liftoverResult) for r in got.collect()) == sorted(want)
     assert {r for _, r in want} == {"NO_TARGET", "PASS", "MISMATCHING_REF_ALLELE", "CANNOT_LIFTOVER_INDEL"}
     assert got.groupBy("i").count().where(F.col("count") > 1).count() > 0
+
+
+def test_every_position_is_mapped(spark, tmp_path):
+    """One order of 360 positions and one without segments: no position is left out."""
+    spark.createDataFrame([(1,), (2,)], "o_orderkey long").write.parquet(f"{tmp_path}/orders.parquet")
+    lines = [(1, 1, 5, 7, 50.0), (1, 2, 6, 7, 20.0)]
+    spark.createDataFrame(lines, "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_quantity double").write.parquet(
+        f"{tmp_path}/lineitem.parquet"
+    )
+    got = {(r.nm_id, r.transcript_position): r.position for r in contract.queries()["map_positions"](spark, str(tmp_path)).collect()}
+    assert set(got) == {(f"NM_{o}", p) for o in (1, 2) for p in range(1, 361)}
+    # The antisense strand runs backwards; the second segment holds positions 51 to 70.
+    assert [got["NM_1", p] for p in (1, 2, 50, 51, 70, 71)] == [701_054, 701_053, 701_005, 702_025, 702_006, -1]
