@@ -120,3 +120,8 @@ def test_every_position_is_mapped(spark, tmp_path):
     assert set(got) == {(f"NM_{o}", p) for o in (1, 2) for p in range(1, 361)}
     # The antisense strand runs backwards; the second segment holds positions 51 to 70.
     assert [got["NM_1", p] for p in (1, 2, 50, 51, 70, 71)] == [701_054, 701_053, 701_005, 702_025, 702_006, -1]
+
+
+def test_points_need_no_shuffle_to_meet_segments(spark):
+    for name, others in (("map_placements", 0),):
+        assert set(shuffles_above(contract.queries()[name](spark, TESTDATA), "p")) == {others}
