@@ -123,5 +123,5 @@ def test_every_position_is_mapped(spark, tmp_path):
 
 
 def test_points_need_no_shuffle_to_meet_segments(spark):
-    for name, others in (("map_placements", 0), ("map_positions_shuffled", 1)):
+    for name, others in (("map_placements", 0), ("map_positions_shuffled", 1), ("map_positions", 0)):
         assert set(shuffles_above(contract.queries()[name](spark, TESTDATA), "p")) == {others}
