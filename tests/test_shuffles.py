@@ -1,11 +1,13 @@
 """How often the many rows of a query are shuffled, and that the shorter ways give the same rows."""
 
+import os
 import random
 
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from basewise.operators import lift_positions, map_positions
+from basewise.operators.alleles import common_prefix
 from basewise.operators.skew import deal_by
 
 TESTDATA = "/root/testdata/sf0.001"
@@ -125,3 +127,18 @@ def test_every_position_is_mapped(spark, tmp_path):
 def test_points_need_no_shuffle_to_meet_segments(spark):
     for name, others in (("map_placements", 0), ("map_positions_shuffled", 1), ("map_positions", 0)):
         assert set(shuffles_above(contract.queries()[name](spark, TESTDATA), "p")) == {others}
+
+
+def test_common_prefix_computes_its_texts_once(spark):
+    """A Python function may not stand in a loop over steps: the texts are made ahead of it."""
+    rng = random.Random(4)
+    texts = [(None, "A"), ("A", None), (None, None), ("", "A"), ("", "")]
+    for _ in range(200):
+        a, b = ("".join(rng.choice("AC") for _ in range(rng.randrange(0, 9))) for _ in range(2))
+        texts += [(a, b), (a, a + b), ("ACGT" * 60 + a, "ACGT" * 60 + b)]
+    as_it_is = F.udf(lambda t: t, "string")
+    df = spark.createDataFrame(texts, "a string, b string")
+    got = df.select("a", "b", common_prefix(as_it_is("a"), F.col("b")).alias("n")).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        assert r.n == len(os.path.commonprefix([r.a or "", r.b or ""]))
